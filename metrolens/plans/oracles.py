@@ -16,6 +16,27 @@ _SEGMENTS = """
 
 _RANGE = "((t.hn between g.r_lo and g.r_hi) or (t.hn between g.l_lo and g.l_hi))"
 
+_BIKES = """
+  select o_orderkey as trip_id, o_orderdate + to_hours(cast(o_orderkey % 24 as bigint)) as st,
+         cast(floor(o_totalprice / 1000.0) - 5 as int) as duration, cast(o_custkey as int) as start_id,
+         cast(o_orderkey % 500 as int) as end_id,
+         case when o_orderstatus = 'P' then '' else o_orderpriority end as end_name
+  from orders"""
+_BIKE_OK = "duration > 0 and start_id > 0 and end_id > 0 and end_name is not null and trim(end_name) <> ''"
+_SEASON = """case when month(st) in (12, 1, 2) then 'winter' when month(st) in (3, 4, 5) then 'spring'
+                  when month(st) in (6, 7, 8) then 'summer' when month(st) in (9, 10, 11) then 'fall' end"""
+
+_TAXI = """
+  select l_orderkey, l_linenumber,
+         40.6::double + l_discount * 3.0::double as plat, -74.05::double + l_tax * 3.75::double as plon,
+         40.6::double + l_linenumber::double / 25.0::double as dlat,
+         -74.05::double + l_quantity / 200.0::double as dlon,
+         l_extendedprice / 1500.0::double as fare
+  from lineitem"""
+_IN_BOX = """plon < -73.75 and plon > -74.05 and dlon < -73.75 and dlon > -74.05
+         and plat < 40.9 and plat > 40.6 and dlat < 40.9 and dlat > 40.6"""
+_DIST = "sqrt((plat - dlat) * (plat - dlat) + (plon - dlon) * (plon - dlon))"
+
 ORACLES: dict[str, str] = {
     "tickets_per_segment": f"""
 with g as ({_SEGMENTS}),
@@ -49,4 +70,69 @@ from events group by 1 order by 1""",
     "tickets_by_weekday": """
 select cast(isodow(o_orderdate) as int) as day_of_week, count(*) as tickets
 from orders group by 1 order by 1""",
+
+    "meters_near_point": """
+with m as (
+  select cast(s_suppkey as varchar) as meter_no,
+         cast(cast(round(s_acctbal * 100) as bigint) as varchar) as xs,
+         cast(s_nationkey as varchar) as ys
+  from supplier where s_nationkey <> 0),
+mb as (select distinct meter_no, xs, ys from m
+       where abs(cast(xs as double) - 500000.0) <= 200000.0 and abs(cast(ys as double) - 12.0) <= 200000.0),
+t as (select cast(l_suppkey as varchar) as meter_no from lineitem where l_returnflag = 'R' and l_quantity > 49.5)
+select mb.meter_no, count(t.meter_no) as tickets, 12.0::double as center_lat, 500000.0::double as center_long,
+       mb.xs || ',' || mb.ys as lat_lon_text
+from mb left join t on mb.meter_no = t.meter_no
+group by mb.meter_no, mb.xs, mb.ys""",
+
+    "wkt_points": """
+select cast(s_suppkey as varchar) as meter_no,
+       case when s_nationkey = 0 then null else cast(cast(round(s_acctbal * 100) as bigint) as double) end as x,
+       case when s_nationkey = 0 then null else cast(s_nationkey as double) end as y
+from supplier""",
+
+    "monthly_trips": """
+select cast(year(l_shipdate) as int) as year, cast(month(l_shipdate) as int) as month,
+       round(avg(l_quantity), 6) as avg_distance, count(*) as trips
+from lineitem group by 1, 2""",
+
+    "midnight_trips": """
+select event_id, ts as tpep_pickup_datetime, value / 5000.0::double - 74.0::double as pickup_longitude,
+       user_id::double / 1000.0::double + 40.6::double as pickup_latitude
+from events where hour(ts) < 1""",
+
+    "bbox_trips": f"""
+with d as (select *, {_DIST} as distance from ({_TAXI})
+           where plat <> 0 and plon <> 0 and dlat <> 0 and dlon <> 0 and {_IN_BOX})
+select l_orderkey, l_linenumber, round(fare, 6) as fare_amount, round(distance, 9) as distance
+from d where fare > 0 and fare < 60 and distance < 0.21 and distance > 0""",
+
+    "plot_window": f"""
+with d as (select *, {_DIST} as distance from ({_TAXI}) where {_IN_BOX})
+select l_orderkey, l_linenumber, round(fare, 6) as fare_amount, round(distance, 9) as distance
+from d where distance between 0 and 0.22 and fare between 0 and 60""",
+
+    "geocode_join": """
+select c_custkey as trip_id, c_mktsegment as routes, n_name as address,
+       40.0::double + n_nationkey::double / 2.0::double as latitude,
+       -74.0::double + n_regionkey::double / 10.0::double as longtitude
+from customer join nation on 'NATION_' || cast(c_nationkey as varchar) = n_name
+where 40.0::double + n_nationkey::double / 2.0::double < 50.0""",
+
+    "bike_clean": f"""
+select trip_id, duration, start_id, end_id, end_name, cast(month(st) as int) as month,
+       cast(year(st) as int) as year, cast(hour(st) as int) as start_hour
+from ({_BIKES}) where {_BIKE_OK}""",
+
+    "season_split": f"""
+select {_SEASON} as season, count(*) as rides from ({_BIKES}) where {_BIKE_OK} group by 1""",
+
+    "time_of_day_split": f"""
+select case when hour(st) < 10 then 'morning' when hour(st) > 17 then 'evening' else 'midday' end as time_of_day,
+       count(*) as rides
+from ({_BIKES}) where {_BIKE_OK} group by 1""",
+
+    "partitioned_csv": f"""
+select {_SEASON} as season, count(*) as rides, cast(sum(duration) as bigint) as total_duration
+from ({_BIKES}) where {_BIKE_OK} group by 1""",
 }

@@ -13,8 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sinks
+from ..operators import cleaning, geocode, ml, proximity, temporal
 from ..operators import interval_join as ij
-from ..operators import temporal
+from ..session import scratch_path
+from ..sources import readers
 from . import synthetic as syn
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +73,103 @@ def q_tickets_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tickets_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets per ISO weekday, parsed from MM/dd/yyyy text."""
     return temporal.tickets_by_weekday(syn.tickets_from_orders(spark, sf_dir))
+
+
+@register("meters_near_point")
+def q_meters_near_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets per meter in a box around a point."""
+    out = proximity.meters_near(syn.meter_tickets_from_lineitem(spark, sf_dir), syn.meters_from_supplier(spark, sf_dir),
+                                longitude=syn.METER_CENTER_X, latitude=syn.METER_CENTER_Y, min_range=syn.METER_RANGE)
+    return out.select(F.col("MeterNo").alias("meter_no"), F.col("count").alias("tickets"),
+                      F.col("Center_Lat").alias("center_lat"), F.col("Center_Long").alias("center_long"),
+                      F.col("StringLatLon").alias("lat_lon_text"))
+
+
+@register("wkt_points")
+def q_wkt_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WKT point text to coordinates; malformed text gives NULL."""
+    m = proximity.parse_meters(syn.meters_from_supplier(spark, sf_dir))
+    return m.select(F.col("MeterNo").alias("meter_no"), "x", "y")
+
+
+# ---------------------------------------------------------------- taxi
+
+
+@register("monthly_trips")
+def q_monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and mean distance per month, through the SQL view."""
+    readers.register_trips(spark, syn.taxi_trips_from_lineitem(spark, sf_dir), view="trips")
+    trips = readers.trips_projection(spark, ["tpep_pickup_datetime", "trip_distance"], view="trips")
+    out = temporal.monthly_trips(trips)
+    return out.select("year", "month", F.round("avg_distance", 6).alias("avg_distance"), "trips")
+
+
+@register("midnight_trips")
+def q_midnight_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: pickups in hour 0."""
+    out = temporal.midnight_trips(syn.taxi_trips_from_events(spark, sf_dir))
+    return out.select("event_id", "tpep_pickup_datetime", "pickup_longitude", "pickup_latitude")
+
+
+@register("bbox_trips")
+def q_bbox_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips inside the NYC box with fare and distance inside the regression window."""
+    t = cleaning.drop_zero_coordinates(syn.taxi_trips_from_lineitem(spark, sf_dir))
+    t = cleaning.fare_distance_window(cleaning.with_trip_distance(cleaning.within_nyc(t)))
+    return t.select("l_orderkey", "l_linenumber", F.round("fare_amount", 6).alias("fare_amount"),
+                    F.round("distance", 9).alias("distance"))
+
+
+@register("plot_window")
+def q_plot_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + F18: (fare, distance) pairs of in-box trips cropped to the plot axes."""
+    t = cleaning.with_trip_distance(cleaning.within_nyc(syn.taxi_trips_from_lineitem(spark, sf_dir)))
+    t = cleaning.plot_window(ml.distance_fare_pairs(t))
+    return t.select("l_orderkey", "l_linenumber", F.round("fare_amount", 6).alias("fare_amount"),
+                    F.round("distance", 9).alias("distance"))
+
+
+# ---------------------------------------------------------------- bikes
+
+
+@register("geocode_join")
+def q_geocode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 + F16: rides joined to address points, latitude below 50."""
+    out = geocode.geocode(syn.rides_from_customer(spark, sf_dir), syn.addresses_from_nation(spark, sf_dir))
+    return out.select("trip_id", "routes", "address", "latitude", "longtitude")
+
+
+def _clean_bikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_bike_trips(syn.bike_trips_from_orders(spark, sf_dir))
+
+
+@register("bike_clean")
+def q_bike_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rides with month, year and start hour from the parsed start time."""
+    b = _clean_bikes(spark, sf_dir)
+    return b.select("trip_id", "duration", F.col("startId").alias("start_id"), F.col("endId").alias("end_id"),
+                    F.col("endName").alias("end_name"), "month", "year", F.col("startHour").alias("start_hour"))
+
+
+@register("season_split")
+def q_season_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides per season."""
+    b = temporal.with_season_and_time_of_day(_clean_bikes(spark, sf_dir))
+    return temporal.label_counts(b, "season", "rides")
+
+
+@register("time_of_day_split")
+def q_time_of_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rides per time of day (morning < 10, evening > 17, midday otherwise)."""
+    b = temporal.with_season_and_time_of_day(_clean_bikes(spark, sf_dir))
+    return temporal.label_counts(b, "time_of_day", "rides")
+
+
+@register("partitioned_csv")
+def q_partitioned_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K4 + S1: rides written as CSV partitioned by season in one job, read back and counted."""
+    b = temporal.with_season_and_time_of_day(_clean_bikes(spark, sf_dir))
+    path = scratch_path(spark, "season-csv")
+    sinks.write_partitioned_csv(b.select("trip_id", "duration", "season"), path, ["season"], header=True)
+    back = readers.read_csv(spark, path, "trip_id long, duration int, season string")
+    return back.groupBy("season").agg(F.count(F.lit(1)).alias("rides"), F.sum("duration").alias("total_duration"))

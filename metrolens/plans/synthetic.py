@@ -86,19 +86,21 @@ METER_CENTER_X, METER_CENTER_Y, METER_RANGE = 500000.0, 12.0, 200000.0
 
 
 def meters_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meters: WKT 'POINT (cents nation)'; suppliers of nation 0 get malformed text 'POINT (cents)'."""
     s = table(spark, sf_dir, "supplier")
     cents = F.round(F.col("s_acctbal") * 100).cast("long").cast("string")
-    return s.select(
-        F.col("s_suppkey").cast("string").alias("MeterNo"),
-        F.concat(F.lit("POINT ("), cents, F.lit(" "), F.col("s_nationkey").cast("string"), F.lit(")")).alias("the_geom"),
-    )
+    nation = F.col("s_nationkey").cast("string")
+    wkt = F.when(F.col("s_nationkey") == 0, F.concat(F.lit("POINT ("), cents, F.lit(")"))) \
+           .otherwise(F.concat(F.lit("POINT ("), cents, F.lit(" "), nation, F.lit(")")))
+    return s.select(F.col("s_suppkey").cast("string").alias("MeterNo"), wkt.alias("the_geom"))
 
 
 def meter_tickets_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets at meters: returned, large line items carry the supplier as 'k-kkk' meter text, others ''."""
+    """Tickets at meters: returned, large line items carry the supplier key with a dash ('7-9'), others ''."""
     li = table(spark, sf_dir, "lineitem")
-    k = F.col("l_suppkey")
-    dashed = F.concat(F.floor(k / 1000).cast("string"), F.lit("-"), F.lpad((k % 1000).cast("string"), 3, "0"))
+    k = F.col("l_suppkey").cast("string")
+    dashed = F.when(F.length(k) > 1, F.concat(F.expr("substr(cast(l_suppkey as string), 1, length(cast(l_suppkey as string)) - 1)"),
+                                             F.lit("-"), F.substring(k, -1, 1))).otherwise(k)
     is_meter = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 49.5)
     return li.select(
         F.col("l_orderkey").cast("string").alias("PlateId"),
