@@ -136,3 +136,150 @@ from ({_BIKES}) where {_BIKE_OK} group by 1""",
 select {_SEASON} as season, count(*) as rides, cast(sum(duration) as bigint) as total_duration
 from ({_BIKES}) where {_BIKE_OK} group by 1""",
 }
+
+
+# ---------------------------------------------------------------- map maths in SQL
+
+_ONE_MINUS = "(1.0::double - 1e-5::double)"
+
+
+def _mx(lon: str) -> str:
+    return f"(256.0::double * (0.5::double + ({lon}) / 360.0::double))"
+
+
+def _my(lat: str) -> str:
+    s = f"least(greatest(sin(({lat}) * (pi() / 180.0::double)), -{_ONE_MINUS}), {_ONE_MINUS})"
+    return f"(256.0::double * (0.5::double - ln((1.0::double + {s}) / (1.0::double - {s})) / (4.0::double * pi())))"
+
+
+def _frame(pts: str) -> str:
+    """CTEs b, a, f: bounds, centre, zoom and centre pixel of the points CTE ``pts`` (lat, lon)."""
+    return f"""
+b as (select min(lat) as lat_min, max(lat) as lat_max, min(lon) as lon_min, max(lon) as lon_max from {pts}),
+a as (select *, (lat_max + lat_min) / 2 as clat, (lon_max + lon_min) / 2 as clon,
+             greatest(abs({_mx('lon_max')} - {_mx('lon_min')}) * 2.0::double,
+                      abs({_my('lat_max')} - {_my('lat_min')})) as amp from b),
+f as (select *, case when amp is null or isnan(amp) or amp = 0 then 10
+                     else cast(trunc(log2(1280.0::double / amp)) as int) end as zoom,
+             {_mx('clon')} as cx, {_my('clat')} as cy from a)"""
+
+
+def _tile(lon: str, lat: str) -> tuple[str, str]:
+    x = f"(2.0::double * (({_mx(lon)} - cx) * pow(2.0::double, zoom) + 320.0::double))"
+    y = f"(2.0::double * (({_my(lat)} - cy) * pow(2.0::double, zoom) + 320.0::double))"
+    return x, y
+
+
+_MAP_PTS = """pts as (select event_id as point_id, user_id::double / 1000.0::double + 40.6::double as lat,
+                      value / 5000.0::double - 74.0::double as lon from events)"""
+_TX, _TY = _tile("lon", "lat")
+_PIXELS = f"""{_MAP_PTS}, {_frame('pts')},
+px as (select point_id, {_TX} as x, {_TY} as y from pts, f)"""
+_K = "(127.0::double / 1280.0::double)"
+_CELLS = f"""cells as (
+  select iy, ix, cast(count(*) as double) as z from (
+    select cast(trunc(y * {_K}) as bigint) + 1 as iy, cast(trunc(x * {_K}) as bigint) + 1 as ix from px)
+  where ix >= 0 and ix < 130 and iy >= 0 and iy < 130 group by 1, 2)"""
+
+_HIST = """
+with p as (select l_extendedprice as x, l_quantity as y from lineitem),
+r as (select min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from p),
+r2 as (select case when x0 = x1 then x0 - 0.5 else x0 end as x0, case when x0 = x1 then x1 + 0.5 else x1 end as x1,
+              case when y0 = y1 then y0 - 0.5 else y0 end as y0, case when y0 = y1 then y1 + 0.5 else y1 end as y1 from r),
+s as (select x0, y0, (x1 - x0) / 64 as sx, (y1 - y0) / 64 as sy from r2),
+f as (select x, y, x0, y0, sx, sy, floor((x - x0) / sx) as fx, floor((y - y0) / sy) as fy from p, s),
+g as (select x0, y0, sx, sy,
+        cast(least(greatest(case when x < x0 + fx * sx then fx - 1 when x >= x0 + (fx + 1) * sx then fx + 1 else fx end, 0), 63) as int) as x_bin,
+        cast(least(greatest(case when y < y0 + fy * sy then fy - 1 when y >= y0 + (fy + 1) * sy then fy + 1 else fy end, 0), 63) as int) as y_bin
+      from f)
+select x_bin, y_bin, min(x0) + x_bin * min(sx) as x_lo, min(y0) + y_bin * min(sy) as y_lo, count(*) as count
+from g group by x_bin, y_bin"""
+
+_LINE_PTS = """lp as (select l_orderkey as line_id, l_linenumber as seq,
+                    40.5::double + l_quantity / 100.0::double as lat, -74.0::double + l_discount as lon from lineitem)"""
+_LX, _LY = _tile("lon", "lat")
+
+_SCATTER_PTS = """pts as (
+  select event_id as point_id, user_id::double / 1000.0::double + 40.6::double as lat,
+         value / 5000.0::double - 74.0::double as lon, cast(event_id % 20 as int)::double / 20.0::double as color,
+         false as is_center from events
+  union all
+  select null, 40.7::double, -73.95::double, 0.0::double, true)"""
+
+ORACLES.update({
+    "mercator_pixels": f"""
+select event_id, round({_mx('value - 245.0::double')}, 6) as x_pixel,
+       round({_my('user_id::double - 75.0::double')}, 6) as y_pixel
+from events""",
+
+    "tile_pixels": f"""
+with {_PIXELS}
+select point_id, round(x, 6) as x_pixel, round(y, 6) as y_pixel, zoom from px, f""",
+
+    "auto_zoom": f"""
+with {_MAP_PTS}, {_frame('pts')}
+select round(lat_min, 6) as lat_min, round(lat_max, 6) as lat_max, round(lon_min, 6) as lon_min,
+       round(lon_max, 6) as lon_max, round(clat, 6) as center_lat, round(clon, 6) as center_long, zoom from f""",
+
+    "scatter_points": f"""
+with {_SCATTER_PTS}, {_frame('pts')}
+select point_id, round({_TX}, 6) as x_pixel, round({_TY}, 6) as y_pixel, round(color, 6) as color, is_center, zoom
+from pts, f""",
+
+    "histogram_2d": _HIST,
+
+    "density_grid": f"""
+with {_PIXELS}, {_CELLS}
+select cast(iy as int) as iy, cast(ix as int) as ix, z from cells""",
+
+    "density_smooth": f"""
+with {_PIXELS}, {_CELLS},
+k0 as (select range as j, exp(-0.5::double / 1.0::double * cast(range * range as double)) as phi from range(-4, 5)),
+k as (select j, phi / (select sum(phi) from k0) as w from k0),
+ey as (select ix, unnest([iy, -1 - iy, 2 * 130 - 1 - iy]) as e, z from cells),
+py as (select ix, e - j as iy, sum(z * w) as z from ey, k where e - j between 0 and 129 group by 1, 2),
+ex as (select iy, unnest([ix, -1 - ix, 2 * 130 - 1 - ix]) as e, z from py),
+pxx as (select iy, e - j as ix, sum(z * w) as z from ex, k where e - j between 0 and 129 group by 1, 2)
+select cast(iy - 1 as int) as iy, cast(ix - 1 as int) as ix, round(z, 8) as z
+from pxx where z > 0.002 and iy between 1 and 128 and ix between 1 and 128""",
+
+    "line_overlay": f"""
+with {_LINE_PTS}, {_frame('lp')},
+px as (select line_id, seq, {_LX} as x, {_LY} as y from lp, f)
+select line_id, cast(count(*) as int) as n_points,
+       round(first(x order by seq, x, y), 6) as first_x, round(first(y order by seq, x, y), 6) as first_y,
+       round(last(x order by seq, x, y), 6) as last_x, round(last(y order by seq, x, y), 6) as last_y
+from px group by line_id""",
+
+    "cluster_ranks": """
+select cluster, cast(row_number() over (order by cluster desc) - 1 as int) as color_rank
+from (select distinct l_suppkey % 7 as cluster from lineitem)""",
+
+    "street_points": """
+select feature_id, cast(row_number() over (partition by feature_id order by n, x, y) - 1 as int) as point_index,
+       round(x, 6) as x, round(y, 6) as y
+from (select l_orderkey as feature_id, l_linenumber as n, -74.0::double + l_discount as x,
+             40.5::double + l_quantity / 100.0::double as y
+      from lineitem where l_linenumber <= 3)""",
+
+    "fare_distance_fit": f"""
+with d0 as (select *, {_DIST} as distance from ({_TAXI})
+            where plat <> 0 and plon <> 0 and dlat <> 0 and dlon <> 0 and {_IN_BOX}),
+d as (select fare, distance from d0 where fare > 0 and fare < 60 and distance < 0.21 and distance > 0),
+f as (select regr_slope(fare, distance) as b, regr_intercept(fare, distance) as a, avg(fare) as m from d)
+select round(min(b), 4) as slope, round(min(a), 4) as intercept,
+       round(sqrt(avg((fare - (a + b * distance)) * (fare - (a + b * distance)))), 6) as rmse,
+       round(avg((a + b * distance - m) * (a + b * distance - m)), 6) as explained_variance,
+       count(*) as n
+from d, f""",
+
+    "marker_check": """
+with p as (
+  select event_id as point_id,
+         case when event_type = 'error' then 'NaN'::double else user_id::double / 1000.0::double + 40.6::double end as lat,
+         case when event_type = 'signup' then null else value / 5000.0::double - 74.0::double end as lon
+  from events),
+dr as (select cast(count(*) filter (where lat is null or lon is null or isnan(lat) or isnan(lon)) as bigint) as dropped from p)
+select point_id, round(lat, 6) as latitude, round(lon, 6) as longitude, dropped
+from p, dr where lat is not null and lon is not null and not isnan(lat) and not isnan(lon)""",
+})

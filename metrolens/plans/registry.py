@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..operators import cleaning, geocode, ml, proximity, temporal
+from ..functions import geometry
+from ..operators import cleaning, density, geocode, hull, mapping, ml, proximity, temporal
 from ..operators import interval_join as ij
 from ..session import scratch_path
-from ..sources import readers
+from ..sources import geojson, readers
 from . import synthetic as syn
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +174,162 @@ def q_partitioned_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_partitioned_csv(b.select("trip_id", "duration", "season"), path, ["season"], header=True)
     back = readers.read_csv(spark, path, "trip_id long, duration int, season string")
     return back.groupBy("season").agg(F.count(F.lit(1)).alias("rides"), F.sum("duration").alias("total_duration"))
+
+
+# ---------------------------------------------------------------- map data
+
+_R6 = 6
+
+
+def _round(cols, digits=_R6):
+    return [F.round(c, digits).alias(c) for c in cols]
+
+
+@register("mercator_pixels")
+def q_mercator_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """World Web-Mercator pixels at zoom 0."""
+    p = geometry.mercator_pixels(syn.world_points_from_events(spark, sf_dir))
+    return p.select("event_id", *_round(["x_pixel", "y_pixel"]))
+
+
+@register("tile_pixels")
+def q_tile_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points fitted to one map tile (centre, auto zoom, pixels)."""
+    p = mapping.fit_to_map(syn.map_points_from_events(spark, sf_dir))
+    return p.select("point_id", *_round(["x_pixel", "y_pixel"]), "zoom")
+
+
+@register("auto_zoom")
+def q_auto_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + G4: bounds, centre and zoom of the point set (one row)."""
+    f = mapping.map_frame(mapping.map_bounds(syn.map_points_from_events(spark, sf_dir)))
+    return f.select(*_round(["lat_min", "lat_max", "lon_min", "lon_max", "center_lat", "center_long"]), "zoom")
+
+
+@register("scatter_points")
+def q_scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scatter data with colour = cluster / 20 and the centre marker appended."""
+    pts = syn.map_points_from_events(spark, sf_dir).withColumn("cluster", (F.col("point_id") % 20).cast("int"))
+    s = mapping.scatter_data(pts.drop("label"), cluster_col="cluster", k=20, center=(40.7, -73.95))
+    return s.select("point_id", *_round(["x_pixel", "y_pixel", "color"]), "is_center", "zoom")
+
+
+@register("histogram_2d")
+def q_histogram_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: 64 x 64 equal-width 2-D histogram of price x quantity."""
+    h = density.histogram_2d(syn.table(spark, sf_dir, "lineitem"), "l_extendedprice", "l_quantity", bins=64)
+    return h.select("x_bin", "y_bin", "x_lo", "y_lo", "count")
+
+
+@register("density_grid")
+def q_density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points per cell of the padded 128-px density grid."""
+    px = mapping.fit_to_map(syn.map_points_from_events(spark, sf_dir))
+    g = density.grid_cells(px, resolution=128)
+    return g.select(F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"), "z")
+
+
+@register("density_smooth")
+def q_density_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaussian-smoothed density, blank threshold and crop, 128-px grid."""
+    px = mapping.fit_to_map(syn.map_points_from_events(spark, sf_dir))
+    s = density.smoothed_density(px, resolution=128)
+    return s.select("iy", "ix", F.round("z", 8).alias("z"))
+
+
+@register("line_overlay")
+def q_line_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poly-lines regrouped in order after projection; first and last points per line."""
+    lines = mapping.line_overlay(syn.line_points_from_lineitem(spark, sf_dir))
+    first, last = F.element_at("points", 1), F.element_at("points", -1)
+    return lines.select("line_id", F.size("points").alias("n_points"),
+                        F.round(first["x"], _R6).alias("first_x"), F.round(first["y"], _R6).alias("first_y"),
+                        F.round(last["x"], _R6).alias("last_x"), F.round(last["y"], _R6).alias("last_y"))
+
+
+@register("cluster_hulls")
+def q_cluster_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 + A14: convex hull vertices per cluster (rows-only; tested against brute force)."""
+    return hull.cluster_hulls(syn.cluster_points_from_lineitem(spark, sf_dir))
+
+
+@register("cluster_ranks")
+def q_cluster_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 + G10: distinct cluster ids and their colour rank."""
+    return hull.cluster_ranks(syn.cluster_points_from_lineitem(spark, sf_dir))
+
+
+@register("street_points")
+def q_street_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON features written by Spark (one per line), read back, first line flattened to points."""
+    path = scratch_path(spark, "streets-geojson")
+    syn.street_features_from_lineitem(spark, sf_dir).write.json(path)
+    pts = geojson.read_street_points(spark, path, multiline=False)
+    return pts.select("feature_id", "point_index", *_round(["x", "y"]))
+
+
+# ---------------------------------------------------------------- ML
+
+
+@register("fare_distance_fit")
+def q_fare_distance_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + A16 on the whole filtered set: least-squares fare ~ distance, RMSE, explained variance."""
+    t = cleaning.drop_zero_coordinates(syn.taxi_trips_from_lineitem(spark, sf_dir))
+    t = cleaning.fare_distance_window(cleaning.with_trip_distance(cleaning.within_nyc(t)))
+    data = ml.labeled(t, "fare_amount", ["distance"])
+    model = ml.fit_linear(data, fit_intercept=True)
+    s = ml.fit_summary(model, ml.regression_metrics(model.transform(data)))
+    return s.select(F.round(F.col("coefficients")[0], 4).alias("slope"), F.round("intercept", 4).alias("intercept"),
+                    F.round("rmse", 6).alias("rmse"), F.round("explained_variance", 6).alias("explained_variance"),
+                    F.col("n"))
+
+
+@register("fare_regression_distance")
+def q_fare_regression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fare on distance with an 80/20 split; test and train metrics (rows-only)."""
+    r = ml.fare_regression_distance(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
+    return ml.fit_summary(r.model, r.metrics)
+
+
+@register("fare_regression_buckets")
+def q_fare_regression_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fare on 100 quantile buckets of the four coordinates, no intercept (rows-only)."""
+    r = ml.fare_regression_buckets(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
+    return ml.fit_summary(r.model, r.metrics)
+
+
+@register("fare_regression_clusters")
+def q_fare_regression_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: fare on pickup (k=20) and dropoff (k=5) cluster ids, no intercept (rows-only)."""
+    r = ml.fare_regression_clusters(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
+    return ml.fit_summary(r.model, r.metrics)
+
+
+@register("pickup_clusters")
+def q_pickup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3: k-means (k=20, seed 1) on pickup points; the cluster export rows (rows-only)."""
+    t = syn.taxi_trips_from_events(spark, sf_dir)
+    _, out = ml.kmeans_clusters(t, ["pickup_latitude", "pickup_longitude"])
+    return out.select("event_id", *ml.cluster_export(out).columns)
+
+
+@register("quantile_buckets")
+def q_quantile_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: 10 quantile buckets of price with the sketch's default error; rows per bucket (rows-only)."""
+    b = ml.quantile_buckets(syn.table(spark, sf_dir, "lineitem"), ["l_extendedprice"], num_buckets=10)
+    return b.groupBy("l_extendedprice_bucket").agg(F.count(F.lit(1)).alias("rows"),
+                                                   F.min("l_extendedprice").alias("lo"),
+                                                   F.max("l_extendedprice").alias("hi"))
+
+
+@register("marker_check")
+def q_marker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F17 + A15: points with NULL/NaN coordinates dropped; dropped count carried as a column."""
+    ev = syn.table(spark, sf_dir, "events")
+    pts = ev.select(
+        F.col("event_id").alias("point_id"),
+        F.when(F.col("event_type") == "error", F.lit(float("nan")))
+         .otherwise(F.col("user_id") / 1000.0 + 40.6).alias("latitude"),
+        F.when(F.col("event_type") == "signup", F.lit(None).cast("double"))
+         .otherwise(F.col("value") / 5000.0 - 74.0).alias("longitude"))
+    return cleaning.check_markers(pts).select("point_id", *_round(["latitude", "longitude"]), "dropped")

@@ -181,3 +181,41 @@ def addresses_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40.0) + F.col("n_nationkey") / 2.0).alias("latitude"),
         (F.lit(-74.0) + F.col("n_regionkey") / 10.0).alias("longtitude"),
     )
+
+
+def world_points_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """World-wide points: longitude = value - 245, latitude = user id - 75."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", (F.col("value") - 245.0).alias("longitude"),
+                     (F.col("user_id") - 75.0).alias("latitude"))
+
+
+def line_points_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poly-line points: one line per order, points in line-number order."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("line_id"), F.col("l_linenumber").alias("seq"),
+                     (F.lit(40.5) + F.col("l_quantity") / 100.0).alias("latitude"),
+                     (F.lit(-74.0) + F.col("l_discount")).alias("longitude"))
+
+
+def cluster_points_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered points: cluster = supplier key % 7, x = price / 1000, y = quantity + 10 * discount."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_suppkey") % 7).alias("cluster"),
+                     (F.col("l_extendedprice") / 1000.0).alias("x_pixel"),
+                     (F.col("l_quantity") + F.col("l_discount") * 10.0).alias("y_pixel"))
+
+
+def street_features_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON features: one per order, a two-line geometry (line numbers 1-3, then the rest)."""
+    li = table(spark, sf_dir, "lineitem")
+    pt = F.struct(F.col("l_linenumber").alias("n"),
+                  F.array(F.lit(-74.0) + F.col("l_discount"), F.lit(40.5) + F.col("l_quantity") / 100.0).alias("xy"))
+    g = li.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list(F.when(F.col("l_linenumber") <= 3, pt))).alias("a"),
+        F.sort_array(F.collect_list(F.when(F.col("l_linenumber") > 3, pt))).alias("b"))
+    line_a = F.transform("a", lambda s: s["xy"])
+    line_b = F.transform("b", lambda s: s["xy"])
+    coords = F.when(F.size("b") > 0, F.array(line_a, line_b)).otherwise(F.array(line_a))
+    return g.select(F.lit("Feature").alias("type"), F.col("l_orderkey").alias("id"),
+                    F.struct(F.lit("MultiLineString").alias("type"), coords.alias("coordinates")).alias("geometry"))
