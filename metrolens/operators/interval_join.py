@@ -18,15 +18,17 @@ Plan (Spark-first, built-in operators only):
    listed once). A ticket cell falls in exactly one bin, so the equi-join
    on (street, bin) meets each candidate pair exactly once; the range test
    remains as a residual filter.
-3. Segments whose ranges span more than ``max_bins`` bins are not exploded;
-   they go through an exact equi-join on the street alone, so no range is
-   capped or dropped.
+3. Segments whose ranges span more than ``max_bins`` bins are exploded at a
+   coarser bin level instead (widths grow by ``max_bins`` per level), and
+   ticket cells are listed once per level, so one equi-join on
+   (street, level, bin) covers every range exactly: nothing is capped or
+   dropped, and a very wide segment adds at most ``max_bins`` rows.
 4. Counts per narrow segment key are joined back (null-safe) to the full
    segment rows, which carry the wide geometry text only at the end.
 
 No join side is hinted: AQE broadcasts the binned segment side when its
 runtime size is under the broadcast threshold, and falls back to a
-sort-merge join on (street, bin) otherwise.
+sort-merge join on (street, level, bin) otherwise.
 """
 
 from __future__ import annotations
@@ -71,11 +73,28 @@ def _range_hit(hn: Column, ranges: Sequence[tuple[str, str]]) -> Column:
     return cond
 
 
-def _side_bins(lo: str, hi: str, width: int):
-    valid = F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col(lo) <= F.col(hi))
-    lo_b = F.floor(F.col(lo) / F.lit(width)).cast("int")
-    hi_b = F.floor(F.col(hi) / F.lit(width)).cast("int")
-    return valid, lo_b, hi_b
+def _level_widths(bin_width: int, fanout: int, max_value: int = 2**31) -> list[int]:
+    """Bin widths per level: bin_width, bin_width*fanout, ... until one bin spans every int."""
+    widths = [int(bin_width)]
+    while widths[-1] * fanout < 2 * max_value:
+        widths.append(widths[-1] * fanout)
+    widths.append(widths[-1] * fanout)
+    return widths
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _bins_sql(lo: str, hi: str, width: int) -> tuple[str, str]:
+    """(bin count, bin array) of one range at one bin width, as SQL; invalid ranges give (0, [])."""
+    lo, hi = _q(lo), _q(hi)
+    valid = f"({lo} IS NOT NULL AND {hi} IS NOT NULL AND {lo} <= {hi})"
+    lo_b = f"floor(CAST({lo} AS BIGINT) / {width})"
+    hi_b = f"floor(CAST({hi} AS BIGINT) / {width})"
+    n = f"(CASE WHEN {valid} THEN {hi_b} - {lo_b} + 1 ELSE 0 END)"
+    arr = f"(CASE WHEN {valid} THEN sequence({lo_b}, {hi_b}) ELSE CAST(array() AS ARRAY<BIGINT>) END)"
+    return n, arr
 
 
 def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str], *,
@@ -83,33 +102,41 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
                 bin_width: int = DEFAULT_BIN_WIDTH, max_bins: int = DEFAULT_MAX_BINS) -> DataFrame:
     """Every (ticket cell, segment key) pair that matches; cells keep their count ``_n``.
 
+    Multi-level bins keep the join exact without a cap: level k has bin
+    width ``bin_width * max_bins**k``. A segment is exploded at the finest
+    level where its ranges touch at most ``max_bins`` bins (the coarsest
+    level always qualifies), and each ticket cell is listed once per level
+    with its bin at that level. A pair can only meet at the segment's
+    level, and there in exactly one bin, so no pair is emitted twice.
+
     ``segments`` must hold ``key_cols`` (which include the label and the
     bounds, already typed).
     """
+    widths = _level_widths(bin_width, max_bins)
+    level_cases, bin_cases = [], []
+    for lvl, width in enumerate(widths):
+        parts = [_bins_sql(lo, hi, width) for lo, hi in ranges]
+        total = " + ".join(n for n, _ in parts)
+        arr = parts[0][1]
+        for _, a in parts[1:]:
+            arr = f"array_union({arr}, {a})"
+        level_cases.append(f"WHEN ({total}) BETWEEN 1 AND {max_bins} THEN {lvl}")
+        bin_cases.append(f"WHEN _lvl = {lvl} THEN {arr}")
+    level_sql = "CASE " + " ".join(level_cases) + " END"
+    bins_sql = "explode(CASE " + " ".join(bin_cases) + " END)"
+
     seg = segments.select(*key_cols).distinct()
-    n_bins = None
-    bin_arrays = []
-    empty = F.array().cast("array<int>")
-    for lo, hi in ranges:
-        valid, lo_b, hi_b = _side_bins(lo, hi, bin_width)
-        n = F.when(valid, hi_b.cast("long") - lo_b + 1).otherwise(F.lit(0).cast("long"))
-        n_bins = n if n_bins is None else n_bins + n
-        bin_arrays.append(F.coalesce(F.when(valid, F.sequence(lo_b, hi_b)), empty))
-    seg = seg.withColumn("_nbins", n_bins)
-
-    all_bins = bin_arrays[0]
-    for arr in bin_arrays[1:]:
-        all_bins = F.array_union(all_bins, arr)
-    narrow = (seg.where((F.col("_nbins") > 0) & (F.col("_nbins") <= max_bins))
-                 .select(*key_cols, F.explode(all_bins).alias("_bin")))
-    wide = seg.where(F.col("_nbins") > max_bins).drop("_nbins")
-
-    hit = _range_hit(F.col("_hn"), ranges)
-    binned_cells = cells.withColumn("_cbin", F.floor(F.col("_hn") / F.lit(bin_width)).cast("int"))
-    m_narrow = (binned_cells.join(narrow, (F.col("_street") == F.col(label_col)) & (F.col("_cbin") == F.col("_bin")))
-                            .where(hit).drop("_cbin", "_bin"))
-    m_wide = cells.join(wide, F.col("_street") == F.col(label_col)).where(hit)
-    return m_narrow.unionByName(m_wide)
+    seg = seg.select(*key_cols, F.expr(level_sql).alias("_lvl")).where(F.col("_lvl").isNotNull())
+    seg_bins = seg.select(*key_cols, "_lvl", F.expr(bins_sql).alias("_bin"))
+
+    cell_levels = "explode(array(" + ", ".join(
+        f"named_struct('l', {lvl}, 'b', floor(CAST(_hn AS BIGINT) / {w}))" for lvl, w in enumerate(widths)) + "))"
+    leveled = cells.select(*cells.columns, F.expr(cell_levels).alias("_lb")) \
+                   .select(*cells.columns, F.col("_lb.l").alias("_clvl"), F.col("_lb.b").alias("_cbin"))
+    joined = leveled.join(seg_bins, (F.col("_street") == F.col(label_col)) & (F.col("_clvl") == F.col("_lvl"))
+                          & (F.col("_cbin") == F.col("_bin")))
+    hit = " OR ".join(f"(_hn >= {_q(lo)} AND _hn <= {_q(hi)})" for lo, hi in ranges)
+    return joined.where(F.expr(hit)).drop("_clvl", "_cbin", "_lvl", "_bin")
 
 
 def tickets_per_segment(tickets: DataFrame, segments: DataFrame, *, by: Sequence[str] = (),

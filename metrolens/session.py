@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "metrolens",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Session with AQE on, UTC clock and the UI off.
 
     On a cluster, pass ``master=None`` and let spark-submit decide; the
@@ -27,9 +27,13 @@ def build_session(master: str | None = None, app: str = "metrolens",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Python-side call-site capture costs several JVM round trips per Column call.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:  # only effective before the JVM starts (local mode: the whole heap)
+        conf["spark.driver.memory"] = driver_memory
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

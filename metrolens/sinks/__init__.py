@@ -42,7 +42,7 @@ def write_partitioned_csv(df: DataFrame, path: str, partition_cols: list[str], h
 def series_record(df: DataFrame, key_col: str, value_col: str) -> DataFrame:
     """K5: a bounded result (e.g. 24 hours, 7 days) as one row of two ordered arrays."""
     pairs = F.sort_array(F.collect_list(F.struct(F.col(key_col).alias("k"), F.col(value_col).alias("v"))))
-    return df.agg(pairs.alias("_p")).select(F.col("_p.k").alias(f"{key_col}s"), F.col("_p.v").alias(f"{value_col}s"))
+    return df.agg(pairs.alias("_p")).select(F.col("_p.k").alias("keys"), F.col("_p.v").alias("values"))
 
 
 def write_series_json(df: DataFrame, key_col: str, value_col: str, path: str, mode: str = "errorifexists") -> None:
