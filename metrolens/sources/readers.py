@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 
@@ -35,13 +36,25 @@ class InputPaths:
 
 def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
              infer: bool = False) -> DataFrame:
-    """Headered CSV; explicit schema unless ``infer`` is asked for."""
+    """CSV with typed columns and no inference pass.
+
+    With a header, columns are found by name (the files carry many more
+    columns, in any order): every column is read as text and the schema's
+    columns are selected and converted with ``try_cast`` (bad text -> NULL).
+    Without a header the schema is applied by position. ``infer=True``
+    falls back to Spark's schema inference (an extra pass over the data).
+    """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    if schema is not None and not infer:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if infer or schema is None:
+        return reader.option("inferSchema", infer).csv(path)
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    if not header:
+        return reader.schema(st).csv(path)
+    raw = reader.csv(path)
+    missing = [f.name for f in st.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"CSV at {path} lacks columns {missing}")
+    return raw.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def load_parking_tickets(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
