@@ -98,12 +98,32 @@ def scatter_data(points: DataFrame, lat_col: str = "latitude", lon_col: str = "l
 def line_overlay(points: DataFrame, line_col: str = "line_id", seq_col: str = "seq",
                  lat_col: str = "latitude", lon_col: str = "longitude",
                  size: int = MAX_SIZE, scale: int = SCALE) -> DataFrame:
-    """G8 (decision D15): one row per input line with its tile-pixel points in sequence order.
+    """G8 (decision D15): every input line's points as tile pixels, regrouped per line in order.
 
-    The map frame is fitted over all points of all lines; each group is one
-    line's own points (the output row itself), never a whole data set.
+    Output rows ``(line_id, seq, x_pixel, y_pixel)`` range-partitioned and
+    sorted by (line, seq): each line's points are contiguous and ordered,
+    and a very long line spreads over several partitions instead of being
+    collected into one task or one row. The map frame is fitted over all
+    points of all lines.
     """
     px = fit_to_map(points, lat_col, lon_col, size, scale)
-    pts = F.sort_array(F.collect_list(F.struct(F.col(seq_col).alias("seq"),
-                                               F.col("x_pixel").alias("x"), F.col("y_pixel").alias("y"))))
-    return px.groupBy(line_col).agg(pts.alias("points"))
+    out = px.select(line_col, seq_col, "x_pixel", "y_pixel")
+    return out.repartitionByRange(line_col, seq_col, "x_pixel", "y_pixel") \
+              .sortWithinPartitions(line_col, seq_col, "x_pixel", "y_pixel")
+
+
+def line_endpoints(lines: DataFrame, line_col: str = "line_id", seq_col: str = "seq") -> DataFrame:
+    """Per line: point count, first and last point in (seq, x, y) order (partial aggregates, no collect)."""
+    pt = F.struct(F.col(seq_col).alias("seq"), F.col("x_pixel").alias("x"), F.col("y_pixel").alias("y"))
+    return lines.groupBy(line_col).agg(F.count(F.lit(1)).cast("int").alias("n_points"),
+                                       F.min(pt).alias("first"), F.max(pt).alias("last"))
+
+
+def line_arrays(lines: DataFrame, line_col: str = "line_id") -> DataFrame:
+    """Lines as one row each with an ordered point array, for consumers that need arrays.
+
+    Use only for lines of bounded length (a street line has hundreds of
+    points); the array of a line is built in one task.
+    """
+    pts = F.sort_array(F.collect_list(F.struct(F.col("seq"), F.col("x_pixel").alias("x"), F.col("y_pixel").alias("y"))))
+    return lines.groupBy(line_col).agg(pts.alias("points"))

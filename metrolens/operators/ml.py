@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import checkpoint_root
 from . import cleaning
 
 
@@ -73,9 +73,15 @@ def labeled(df: DataFrame, label_col: str, feature_cols: list[str]) -> DataFrame
 
 
 def split(df: DataFrame, seed: int, weights=(0.8, 0.2)):
-    """Seeded random split; the input is persisted so both halves see the same rows."""
-    persisted = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return persisted.randomSplit(list(weights), seed=seed)
+    """Seeded random split of a checkpointed copy.
+
+    The labeled rows are written once to the shared checkpoint folder
+    (``spark.checkpoint.dir``), which cuts the lineage: both halves and every
+    pass of the fit read the same rows, and a lost executor costs a re-read,
+    not a re-run of clustering or bucketing.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True).randomSplit(list(weights), seed=seed)
 
 
 def fit_linear(train: DataFrame, fit_intercept: bool):

@@ -240,11 +240,10 @@ def q_density_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("line_overlay")
 def q_line_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poly-lines regrouped in order after projection; first and last points per line."""
-    lines = mapping.line_overlay(syn.line_points_from_lineitem(spark, sf_dir))
-    first, last = F.element_at("points", 1), F.element_at("points", -1)
-    return lines.select("line_id", F.size("points").alias("n_points"),
-                        F.round(first["x"], _R6).alias("first_x"), F.round(first["y"], _R6).alias("first_y"),
-                        F.round(last["x"], _R6).alias("last_x"), F.round(last["y"], _R6).alias("last_y"))
+    lines = mapping.line_endpoints(mapping.line_overlay(syn.line_points_from_lineitem(spark, sf_dir)))
+    return lines.select("line_id", "n_points",
+                        F.round("first.x", _R6).alias("first_x"), F.round("first.y", _R6).alias("first_y"),
+                        F.round("last.x", _R6).alias("last_x"), F.round("last.y", _R6).alias("last_y"))
 
 
 @register("cluster_hulls")

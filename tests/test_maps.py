@@ -185,10 +185,15 @@ def test_cluster_ranks(spark):
 def test_line_overlay_order(spark):
     rows = [(1, 2, 40.71, -74.0), (1, 1, 40.70, -74.01), (1, 3, 40.72, -73.99), (2, 1, 40.80, -73.9), (2, 2, 40.81, -73.95)]
     df = spark.createDataFrame(rows, "line_id int, seq int, latitude double, longitude double")
-    out = {r.line_id: r.points for r in mapping.line_overlay(df).collect()}
-    assert [p.seq for p in out[1]] == [1, 2, 3] and [p.seq for p in out[2]] == [1, 2]
+    lines = mapping.line_overlay(df)
+    arrays = {r.line_id: r.points for r in mapping.line_arrays(lines).collect()}
+    assert [p.seq for p in arrays[1]] == [1, 2, 3] and [p.seq for p in arrays[2]] == [1, 2]
     px = {(r.line_id, r.seq): (r.x_pixel, r.y_pixel) for r in mapping.fit_to_map(df).collect()}
-    assert (out[1][0].x, out[1][0].y) == px[(1, 1)] and (out[2][-1].x, out[2][-1].y) == px[(2, 2)]
+    ends = {r.line_id: r for r in mapping.line_endpoints(lines).collect()}
+    assert ends[1].n_points == 3 and (ends[1].first.x, ends[1].first.y) == px[(1, 1)]
+    assert (ends[2].last.x, ends[2].last.y) == px[(2, 2)]
+    flat = [(r.line_id, r.seq) for r in lines.collect()]
+    assert flat == sorted(flat)
 
 
 def test_geojson_feature_collection(spark):
