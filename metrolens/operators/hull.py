@@ -23,9 +23,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _interior_mask(xy: np.ndarray) -> np.ndarray:
+    """Points strictly inside the polygon of the extreme points (never hull vertices; Akl-Toussaint).
+
+    Extremes of x, y, x + y and x - y span a convex polygon inside the
+    hull; a point strictly inside it cannot be a hull vertex, so dropping
+    it keeps the hull exact while the ordered scan sees far fewer points.
+    """
+    keys = [xy[:, 0], xy[:, 1], xy[:, 0] + xy[:, 1], xy[:, 0] - xy[:, 1]]
+    idx = sorted({int(f(k)) for k in keys for f in (np.argmin, np.argmax)})
+    poly = _chain(np.unique(xy[idx], axis=0))
+    if len(poly) < 3:
+        return np.zeros(len(xy), dtype=bool)
+    inside = np.ones(len(xy), dtype=bool)
+    for i in range(len(poly)):
+        a, b = poly[i], poly[(i + 1) % len(poly)]
+        cross = (b[0] - a[0]) * (xy[:, 1] - a[1]) - (b[1] - a[1]) * (xy[:, 0] - a[0])
+        inside &= cross > 0
+    return inside
+
+
 def monotone_chain(xy: np.ndarray) -> np.ndarray:
     """Hull vertices (counter-clockwise, from the lowest (x, y)) of an (n, 2) array; collinear points dropped."""
-    pts = np.unique(xy, axis=0)  # sorted by x, then y
+    xy = np.asarray(xy, dtype=float).reshape(-1, 2)
+    if len(xy) > 64:
+        xy = xy[~_interior_mask(xy)]
+    return _chain(np.unique(xy, axis=0))
+
+
+def _chain(pts: np.ndarray) -> np.ndarray:
+    """Andrew's monotone chain over points already sorted by (x, y) and unique."""
     if len(pts) < 3:
         return pts
 
@@ -48,33 +75,50 @@ def monotone_chain(xy: np.ndarray) -> np.ndarray:
     return np.array(hull, dtype=float).reshape(-1, 2)
 
 
-_POINT_SCHEMA = "cluster long, x double, y double"
+_PARTIAL_SCHEMA = "cluster long, x double, y double, n long"
+_FINAL_SCHEMA = "cluster long, vertex int, x double, y double, n_points long"
+
+
+def _partial_frame(cluster, hull: np.ndarray, n: int) -> pd.DataFrame:
+    """Hull vertices of a part of a cluster; the part's point count rides on the first vertex."""
+    counts = np.zeros(len(hull), dtype="int64")
+    if len(hull):
+        counts[0] = n
+    return pd.DataFrame({"cluster": np.full(len(hull), cluster, dtype="int64"),
+                         "x": hull[:, 0], "y": hull[:, 1], "n": counts})
 
 
 def _partition_hulls(batches):
-    """Round 1: running hull per cluster across all batches of one partition."""
+    """Round 1: running hull and point count per cluster across all batches of one partition."""
     acc: dict = {}
+    cnt: dict = {}
     for pdf in batches:
         for c, g in pdf.groupby("cluster", sort=False):
             xy = g[["x", "y"]].to_numpy(dtype=float)
             if c in acc:
                 xy = np.vstack([acc[c], xy])
             acc[c] = monotone_chain(xy)
+            cnt[c] = cnt.get(c, 0) + len(g)
     for c, h in acc.items():
-        if len(h):
-            yield pd.DataFrame({"cluster": np.full(len(h), c, dtype="int64"), "x": h[:, 0], "y": h[:, 1]})
+        yield _partial_frame(c, h, cnt[c])
 
 
 def _group_hull(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Round 2: hull of partial hulls, counts summed."""
     h = monotone_chain(pdf[["x", "y"]].to_numpy(dtype=float))
-    return pd.DataFrame({"cluster": np.full(len(h), pdf["cluster"].iloc[0], dtype="int64"),
-                         "x": h[:, 0], "y": h[:, 1]})
+    return _partial_frame(pdf["cluster"].iloc[0], h, int(pdf["n"].sum()))
 
 
-def _final_hull(pdf: pd.DataFrame) -> pd.DataFrame:
-    h = monotone_chain(pdf[["x", "y"]].to_numpy(dtype=float))
-    return pd.DataFrame({"cluster": np.full(len(h), pdf["cluster"].iloc[0], dtype="int64"),
-                         "vertex": np.arange(len(h), dtype="int32"), "x": h[:, 0], "y": h[:, 1]})
+def _final_hull(min_points: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = int(pdf["n"].sum())
+        h = monotone_chain(pdf[["x", "y"]].to_numpy(dtype=float))
+        if n < min_points or len(h) < 3:
+            h = h[:0]
+        return pd.DataFrame({"cluster": np.full(len(h), pdf["cluster"].iloc[0], dtype="int64"),
+                             "vertex": np.arange(len(h), dtype="int32"), "x": h[:, 0], "y": h[:, 1],
+                             "n_points": np.full(len(h), n, dtype="int64")})
+    return run
 
 
 def cluster_sizes(points: DataFrame, cluster_col: str = "cluster") -> DataFrame:
@@ -84,20 +128,21 @@ def cluster_sizes(points: DataFrame, cluster_col: str = "cluster") -> DataFrame:
 
 def cluster_hulls(points: DataFrame, cluster_col: str = "cluster", x_col: str = "x_pixel", y_col: str = "y_pixel",
                   min_points: int = 3, fan_in: int = 64) -> DataFrame:
-    """``(cluster, vertex, x, y, n_points)`` hull vertices per cluster, in order."""
+    """G7 + A14: ``(cluster, vertex, x, y, n_points)`` hull vertices per cluster, in order.
+
+    Point counts travel with the partial hulls, so the points are scanned
+    once and clusters under ``min_points`` are dropped in the final round.
+    """
     pts = points.select(F.col(cluster_col).cast("long").alias("cluster"), F.col(x_col).cast("double").alias("x"),
                         F.col(y_col).cast("double").alias("y")) \
                 .where(F.col("cluster").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
                        & ~F.isnan("x") & ~F.isnan("y"))
-    partial = pts.mapInPandas(_partition_hulls, _POINT_SCHEMA)
+    partial = pts.mapInPandas(_partition_hulls, _PARTIAL_SCHEMA)
     salted = partial.withColumn("_salt", F.pmod(F.xxhash64("x", "y"), F.lit(fan_in)))
     merged = salted.groupBy("cluster", "_salt").applyInPandas(
-        lambda pdf: _group_hull(pdf.drop(columns=["_salt"])), _POINT_SCHEMA)
-    final = merged.groupBy("cluster").applyInPandas(_final_hull, "cluster long, vertex int, x double, y double")
-    sizes = cluster_sizes(pts, "cluster").where(F.col("n_points") >= min_points)
-    n_vertices = final.groupBy("cluster").agg(F.count(F.lit(1)).alias("_nv"))
-    out = final.join(sizes, "cluster").join(n_vertices.where(F.col("_nv") >= 3), "cluster")
-    return out.select(F.col("cluster").alias(cluster_col), "vertex", "x", "y", "n_points")
+        lambda pdf: _group_hull(pdf.drop(columns=["_salt"])), _PARTIAL_SCHEMA)
+    final = merged.groupBy("cluster").applyInPandas(_final_hull(min_points), _FINAL_SCHEMA)
+    return final.withColumnRenamed("cluster", cluster_col) if cluster_col != "cluster" else final
 
 
 def cluster_ranks(points: DataFrame, cluster_col: str = "cluster") -> DataFrame:

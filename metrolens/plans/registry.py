@@ -332,3 +332,29 @@ def q_marker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "signup", F.lit(None).cast("double"))
          .otherwise(F.col("value") / 5000.0 - 74.0).alias("longitude"))
     return cleaning.check_markers(pts).select("point_id", *_round(["latitude", "longitude"]), "dropped")
+
+
+# ---------------------------------------------------------------- sinks and row caps
+
+
+@register("capped_rows")
+def q_capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2-L3: the notebook's ordered row cap (the limit is the operator); every order column is returned."""
+    t = syn.taxi_trips_from_lineitem(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.round("fare_amount", 6).alias("fare_amount"), "trip_distance")
+    return temporal.ordered_head(t, ["l_orderkey", "l_linenumber", "fare_amount", "trip_distance"], 1000)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K2 + S1/S9: monthly trips written as CSV without and with a header, read back by position and name."""
+    readers.register_trips(spark, syn.taxi_trips_from_lineitem(spark, sf_dir), view="trips")
+    out = temporal.monthly_trips(readers.trips_projection(spark, ["tpep_pickup_datetime", "trip_distance"]))
+    plain, headed = scratch_path(spark, "monthly-csv"), scratch_path(spark, "monthly-csv-header")
+    sinks.write_csv(out, plain)
+    sinks.write_csv(out, headed, header=True)
+    a = readers.read_csv(spark, plain, "year int, month int, avg_distance double, trips long", header=False)
+    b = readers.read_csv_by_position(spark, headed, {0: "year_h", 1: "month_h", 3: "trips_h"})
+    j = a.join(b, (a.year == b.year_h.cast("int")) & (a.month == b.month_h.cast("int")))
+    return j.select("year", "month", F.round("avg_distance", 6).alias("avg_distance"), "trips",
+                    F.col("trips_h").cast("long").alias("trips_from_header_file"))
