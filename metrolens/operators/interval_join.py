@@ -86,10 +86,10 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _bins_sql(lo: str, hi: str, width: int) -> tuple[str, str]:
-    """(bin count, bin array) of one range at one bin width, as SQL; invalid ranges give (0, [])."""
+def _bins_sql(lo: str, hi: str, width: str) -> tuple[str, str]:
+    """(bin count, bin array) of one range for a bin-width expression, as SQL; invalid ranges give (0, [])."""
     lo, hi = _q(lo), _q(hi)
-    valid = f"({lo} IS NOT NULL AND {hi} IS NOT NULL AND {lo} <= {hi})"
+    valid = f"({lo} <= {hi})"  # NULL bounds make this NULL, which CASE treats as false
     lo_b = f"floor(CAST({lo} AS BIGINT) / {width})"
     hi_b = f"floor(CAST({hi} AS BIGINT) / {width})"
     n = f"(CASE WHEN {valid} THEN {hi_b} - {lo_b} + 1 ELSE 0 END)"
@@ -108,29 +108,31 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
     level always qualifies), and each ticket cell is listed once per level
     with its bin at that level. A pair can only meet at the segment's
     level, and there in exactly one bin, so no pair is emitted twice.
+    Segments without a valid range get no level and no bins.
 
     ``segments`` must hold ``key_cols`` (which include the label and the
     bounds, already typed).
     """
+    if max_bins < 2 * len(ranges) or bin_width < 1:
+        # at the coarsest level every valid range touches at most 2 bins
+        raise ValueError("max_bins must be at least 2 per range and bin_width at least 1")
     widths = _level_widths(bin_width, max_bins)
-    level_cases, bin_cases = [], []
-    for lvl, width in enumerate(widths):
-        parts = [_bins_sql(lo, hi, width) for lo, hi in ranges]
-        total = " + ".join(n for n, _ in parts)
-        arr = parts[0][1]
-        for _, a in parts[1:]:
-            arr = f"array_union({arr}, {a})"
-        level_cases.append(f"WHEN ({total}) BETWEEN 1 AND {max_bins} THEN {lvl}")
-        bin_cases.append(f"WHEN _lvl = {lvl} THEN {arr}")
-    level_sql = "CASE " + " ".join(level_cases) + " END"
-    bins_sql = "explode(CASE " + " ".join(bin_cases) + " END)"
+    widths_sql = "array(" + ", ".join(f"CAST({w} AS BIGINT)" for w in widths) + ")"
+    counts = [_bins_sql(lo, hi, "w")[0] for lo, hi in ranges]
+    level_sql = (f"nullif(array_position(transform({widths_sql}, "
+                 f"w -> ({' + '.join(counts)}) BETWEEN 1 AND {max_bins}), true), 0)")
+    arrays = [_bins_sql(lo, hi, "_w")[1] for lo, hi in ranges]
+    bins_sql = arrays[0]
+    for a in arrays[1:]:
+        bins_sql = f"array_union({bins_sql}, {a})"
 
     seg = segments.select(*key_cols).distinct()
-    seg = seg.select(*key_cols, F.expr(level_sql).alias("_lvl")).where(F.col("_lvl").isNotNull())
-    seg_bins = seg.select(*key_cols, "_lvl", F.expr(bins_sql).alias("_bin"))
+    seg = seg.select(*key_cols, F.expr(level_sql).cast("int").alias("_lvl"))
+    seg = seg.select(*key_cols, "_lvl", F.expr(f"element_at({widths_sql}, _lvl)").alias("_w"))
+    seg_bins = seg.select(*key_cols, "_lvl", F.explode(F.expr(bins_sql)).alias("_bin"))
 
     cell_levels = "explode(array(" + ", ".join(
-        f"named_struct('l', {lvl}, 'b', floor(CAST(_hn AS BIGINT) / {w}))" for lvl, w in enumerate(widths)) + "))"
+        f"named_struct('l', {lvl + 1}, 'b', floor(CAST(_hn AS BIGINT) / {w}))" for lvl, w in enumerate(widths)) + "))"
     leveled = cells.select(*cells.columns, F.expr(cell_levels).alias("_lb")) \
                    .select(*cells.columns, F.col("_lb.l").alias("_clvl"), F.col("_lb.b").alias("_cbin"))
     joined = leveled.join(seg_bins, (F.col("_street") == F.col(label_col)) & (F.col("_clvl") == F.col("_lvl"))
