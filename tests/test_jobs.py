@@ -60,3 +60,46 @@ def test_stream_counts(spark):
     q.awaitTermination(120)
     got = {r.hour: r.tickets for r in spark.read.parquet(out).collect()}
     assert got == {6: 2, 23: 1}
+
+
+def test_taxi_and_bike_jobs(spark):
+    import datetime as dt
+    trips = spark.createDataFrame([
+        (dt.datetime(2016, 1, 1, 0, 30), 1.5, -73.99, 40.75, -73.95, 40.78, 12.0),
+        (dt.datetime(2016, 1, 2, 23, 10), 2.5, -73.98, 40.74, -73.90, 40.80, 20.0),
+        (dt.datetime(2016, 2, 1, 0, 5), 3.0, 0.0, 0.0, -73.90, 40.80, 20.0),
+        (None, 4.0, -73.97, 40.70, -73.96, 40.71, 8.0),
+    ], "tpep_pickup_datetime timestamp, trip_distance double, pickup_longitude double, pickup_latitude double, "
+       "dropoff_longitude double, dropoff_latitude double, fare_amount double")
+    tp = _write_csv(spark, trips, "trips-csv")
+    out = scratch_path(spark, "monthly-out")
+    jobs.monthly_trips_job(spark, tp, out)
+    rows = read_csv(spark, out, "year int, month int, avg_distance double, trips long", header=False).collect()
+    assert sorted(tuple(r) for r in rows) == [(2016, 1, 2.0, 2), (2016, 2, 3.0, 1)]
+    out = scratch_path(spark, "midnight-out")
+    jobs.midnight_trips_job(spark, tp, out)
+    assert read_csv(spark, out, "t string, lon double, lat double", header=False).count() == 2
+    out = scratch_path(spark, "clusters-out")
+    jobs.pickup_clusters_job(spark, tp, out)
+    got = read_csv(spark, out, "pickup_latitude double, pickup_longitude double, predction_pickup int")
+    assert got.count() == 3  # the zero-coordinate trip is dropped
+    out = scratch_path(spark, "pairs-out")
+    jobs.distance_fare_export_job(spark, tp, out)
+    assert read_csv(spark, out, "fare_amount double, distance double").count() == 3  # NULL time does not matter here
+
+    bikes = spark.createDataFrame([
+        ("01/05/2016 08:00:00", "01/05/2016 08:20:00", 1200, 1, 2, "A", "Main St", "1", "1980", "S"),
+        ("07/05/2016 18:00:00", "07/05/2016 18:20:00", 1200, 3, 4, "B", "Elm St", "2", "1990", "C"),
+        ("07/05/2016 18:00:00", "07/05/2016 18:20:00", -1, 3, 4, "B", "Elm St", "2", "1990", "C"),
+    ], "starttime string, stoptime string, duration int, startId int, endId int, endName string, address string, "
+       "gender string, `birth year` string, usertype string")
+    bp = _write_csv(spark, bikes, "bikes-csv")
+    addr = _write_csv(spark, spark.createDataFrame([("Main St", 40.7, -74.0), ("Elm St", 55.0, -73.0)],
+                                                   "address string, latitude double, longtitude double"), "addr-csv")
+    out = scratch_path(spark, "geocode-out")
+    jobs.geocode_job(spark, bp, addr, out)
+    assert read_csv(spark, out, "starttime string", header=False).count() == 1  # latitude 55 is out of bounds
+    out = scratch_path(spark, "season-out")
+    jobs.season_split_job(spark, bp, out)
+    parts = sorted(p.split("/")[-2] + "/" + p.split("/")[-1] for p in glob.glob(_local(out) + "/season=*/time_of_day=*"))
+    assert parts == ["season=summer/time_of_day=evening", "season=winter/time_of_day=morning"]
