@@ -54,5 +54,11 @@ def test_only_bounded_frames_are_hinted():
     from metrolens.operators import cleaning, density, geocode, hull, mapping, ml, proximity, temporal as tm
     found = set()
     for mod in (ij, proximity, cleaning, density, mapping, geocode, hull, ml, tm):
-        found |= {m.group(1) for m in re.finditer(r"F\.broadcast\(([^)]*\)?)\)", inspect.getsource(mod))}
+        src = inspect.getsource(mod)
+        for m in re.finditer(r"F\.broadcast\(", src):
+            depth, i = 1, m.end()
+            while depth:
+                depth += {"(": 1, ")": -1}.get(src[i], 0)
+                i += 1
+            found.add(src[m.end():i - 1])
     assert found == {"r", "f", "kernel", "invalid_marker_count(df, lat_col, lon_col)"}
