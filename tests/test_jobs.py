@@ -103,3 +103,19 @@ def test_taxi_and_bike_jobs(spark):
     jobs.season_split_job(spark, bp, out)
     parts = sorted(p.split("/")[-2] + "/" + p.split("/")[-1] for p in glob.glob(_local(out) + "/season=*/time_of_day=*"))
     assert parts == ["season=summer/time_of_day=evening", "season=winter/time_of_day=morning"]
+
+
+def test_stream_restart_resumes_from_checkpoint(spark):
+    src = _local(scratch_path(spark, "stream-in-wd"))
+    os.makedirs(src)
+    header = "Plate Id,Issue Date,Street Name,House Number,Violation Time,Issuer Code,Meter Number\n"
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write(header + "P1,08/04/2013,A,1,0623A,1,\nP2,08/05/2013,A,1,0630A,1,\n")
+    out = scratch_path(spark, "stream-out-wd")
+    ckpt = scratch_path(spark, "stream-ckpt-wd")
+    stream.start_counts(spark, src, out, by="weekday", checkpoint=ckpt).awaitTermination(120)
+    assert {r.day_of_week: r.tickets for r in spark.read.parquet(out).collect()} == {7: 1, 1: 1}
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write(header + "P3,08/04/2013,A,1,1159P,1,\nP4,13/45/2013,A,1,xx,1,\n")
+    stream.start_counts(spark, src, out, by="weekday", checkpoint=ckpt).awaitTermination(120)
+    assert {r.day_of_week: r.tickets for r in spark.read.parquet(out).collect()} == {7: 2, 1: 1}
