@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_RUNS (default 2; the best run per query is reported).
+     BENCH_RUNS (default 3; the best run per query is reported).
 Each query is executed in full with the no-op sink (no collect to the driver).
 """
 
@@ -40,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", app="metrolens-bench", shuffle_partitions=cpus)
     spark.range(1000).selectExpr("sum(id)").collect()  # start the executors once
     qs = registry.all_queries()

@@ -239,8 +239,12 @@ def q_density_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("line_overlay")
 def q_line_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Poly-lines regrouped in order after projection; first and last points per line."""
-    lines = mapping.line_endpoints(mapping.line_overlay(syn.line_points_from_lineitem(spark, sf_dir)))
+    """Poly-lines projected to tile pixels; count, first and last point per line in (seq, x, y) order.
+
+    The endpoints are order-insensitive min/max aggregates of (seq, x, y), so
+    the projected points feed them directly (no range shuffle needed here).
+    """
+    lines = mapping.line_endpoints(mapping.fit_to_map(syn.line_points_from_lineitem(spark, sf_dir)))
     return lines.select("line_id", "n_points",
                         F.round("first.x", _R6).alias("first_x"), F.round("first.y", _R6).alias("first_y"),
                         F.round("last.x", _R6).alias("last_x"), F.round("last.y", _R6).alias("last_y"))
