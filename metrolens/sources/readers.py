@@ -72,9 +72,13 @@ def load_street_segments(spark: SparkSession, path: str, infer: bool = False) ->
     return read_csv(spark, path, schemas.STREET_SEGMENTS, infer=infer).select(*schemas.SEGMENT_COLUMNS)
 
 
-def load_parking_meters(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
-    """The meter file with all its columns (inferred, as the reference keeps them all)."""
-    return read_csv(spark, path, schemas.PARKING_METERS, infer=infer)
+def load_parking_meters(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+    """The meter file with all its columns, as text (no inference pass unless ``infer``)."""
+    df = read_csv(spark, path, None, infer=infer)
+    missing = [c for c in schemas.PARKING_METERS.fieldNames() if c not in df.columns]
+    if missing:
+        raise ValueError(f"meter file at {path} lacks columns {missing}")
+    return df
 
 
 def register_trips(spark: SparkSession, path_or_df, view: str = "trips", infer: bool = False) -> DataFrame:
