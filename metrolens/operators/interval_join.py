@@ -108,7 +108,9 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
     level always qualifies), and each ticket cell is listed once per level
     with its bin at that level. A pair can only meet at the segment's
     level, and there in exactly one bin, so no pair is emitted twice.
-    Segments without a valid range get no level and no bins.
+    Segments without a valid range get no level and no bins. Cells are
+    listed only for the levels some segment uses (one small job over the
+    segment keys reads those few level numbers).
 
     ``segments`` must hold ``key_cols`` (which include the label and the
     bounds, already typed).
@@ -128,11 +130,15 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
 
     seg = segments.select(*key_cols).distinct()
     seg = seg.select(*key_cols, F.expr(level_sql).cast("int").alias("_lvl"))
+    # The levels in use (at most len(widths) small integers, read from the
+    # small segment side) decide how many times each ticket cell is listed.
+    used = sorted(r[0] for r in seg.where(F.col("_lvl").isNotNull()).select("_lvl").distinct().collect())
+    used = used or [1]
     seg = seg.select(*key_cols, "_lvl", F.expr(f"element_at({widths_sql}, _lvl)").alias("_w"))
     seg_bins = seg.select(*key_cols, "_lvl", F.explode(F.expr(bins_sql)).alias("_bin"))
 
     cell_levels = "explode(array(" + ", ".join(
-        f"named_struct('l', {lvl + 1}, 'b', floor(CAST(_hn AS BIGINT) / {w}))" for lvl, w in enumerate(widths)) + "))"
+        f"named_struct('l', {lvl}, 'b', floor(CAST(_hn AS BIGINT) / {widths[lvl - 1]}))" for lvl in used) + "))"
     leveled = cells.select(*cells.columns, F.expr(cell_levels).alias("_lb")) \
                    .select(*cells.columns, F.col("_lb.l").alias("_clvl"), F.col("_lb.b").alias("_cbin"))
     joined = leveled.join(seg_bins, (F.col("_street") == F.col(label_col)) & (F.col("_clvl") == F.col("_lvl"))
