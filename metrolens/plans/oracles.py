@@ -294,3 +294,5 @@ select cast(year(l_shipdate) as int) as year, cast(month(l_shipdate) as int) as
        round(avg(l_quantity), 6) as avg_distance, count(*) as trips, count(*) as trips_from_header_file
 from lineitem group by 1, 2""",
 })
+
+ORACLES["stream_tickets_by_hour"] = ORACLES["tickets_by_hour"]

@@ -18,7 +18,8 @@ from ..functions import geometry
 from ..operators import cleaning, density, geocode, hull, mapping, ml, proximity, temporal
 from ..operators import interval_join as ij
 from ..session import scratch_path
-from ..sources import geojson, readers
+from ..sources import geojson, readers, schemas
+from ..streaming import tickets as ticket_stream
 from . import synthetic as syn
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -362,3 +363,23 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = a.join(b, (a.year == b.year_h.cast("int")) & (a.month == b.month_h.cast("int")))
     return j.select("year", "month", F.round("avg_distance", 6).alias("avg_distance"), "trips",
                     F.col("trips_h").cast("long").alias("trips_from_header_file"))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@register("stream_tickets_by_hour")
+def q_stream_tickets_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 over a file stream: tickets written by Spark as CSV files, counted by a Structured Streaming query.
+
+    The query runs to completion (available-now trigger) with its state and
+    progress in the shared checkpoint folder; the result table is returned.
+    """
+    src = scratch_path(spark, "ticket-stream-in")
+    raw = syn.tickets_from_events(spark, sf_dir).select(
+        *[F.col(dst).alias(src_name) for src_name, dst in schemas.TICKET_RENAMES.items()])
+    raw.write.option("header", True).csv(src)
+    out = scratch_path(spark, "ticket-stream-out")
+    q = ticket_stream.start_counts(spark, src, out, by="hour", checkpoint=scratch_path(spark, "ticket-stream-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(out).select("hour", "tickets")

@@ -21,23 +21,29 @@ from ..session import checkpoint_root
 from ..sources import readers, schemas
 
 
-def ticket_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of renamed ticket rows from CSV files arriving in ``input_dir``."""
-    r = spark.readStream.schema(schemas.PARKING_TICKETS_RAW).option("header", True)
+def ticket_stream(spark: SparkSession, input_dir: str, file_schema=None,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of renamed ticket rows from CSV files arriving in ``input_dir``.
+
+    A file stream needs the files' full schema up front (columns by
+    position); ``file_schema`` defaults to the seven ticket columns. The
+    ticket columns are then selected by name.
+    """
+    r = spark.readStream.schema(file_schema or schemas.PARKING_TICKETS_RAW).option("header", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return readers.rename_ticket_columns(r.csv(input_dir))
 
 
 def start_counts(spark: SparkSession, input_dir: str, output_table: str, by: str = "hour",
-                 checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                 checkpoint: str | None = None, available_now: bool = True, file_schema=None) -> StreamingQuery:
     """Run the per-hour (A1) or per-weekday (A2) count incrementally.
 
     Each micro-batch rewrites ``output_table`` (a parquet directory) with
     the current totals via ``foreachBatch``; the totals themselves come
     from the streaming aggregate's state.
     """
-    tickets = ticket_stream(spark, input_dir)
+    tickets = ticket_stream(spark, input_dir, file_schema)
     counts = temporal.tickets_by_hour(tickets) if by == "hour" else temporal.tickets_by_weekday(tickets)
     ckpt = checkpoint or os.path.join(checkpoint_root(spark), f"stream-tickets-by-{by}")
 
