@@ -240,7 +240,7 @@ ey as (select ix, unnest([iy, -1 - iy, 2 * 130 - 1 - iy]) as e, z from cells),
 py as (select ix, e - j as iy, sum(z * w) as z from ey, k where e - j between 0 and 129 group by 1, 2),
 ex as (select iy, unnest([ix, -1 - ix, 2 * 130 - 1 - ix]) as e, z from py),
 pxx as (select iy, e - j as ix, sum(z * w) as z from ex, k where e - j between 0 and 129 group by 1, 2)
-select cast(iy - 1 as int) as iy, cast(ix - 1 as int) as ix, round(z, 8) as z
+select cast(iy - 1 as int) as iy, cast(ix - 1 as int) as ix, round(z, 6) as z
 from pxx where z > 0.002 and iy between 1 and 128 and ix between 1 and 128""",
 
     "line_overlay": f"""

@@ -235,7 +235,7 @@ def q_density_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaussian-smoothed density, blank threshold and crop, 128-px grid."""
     px = mapping.fit_to_map(syn.map_points_from_events(spark, sf_dir))
     s = density.smoothed_density(px, resolution=128)
-    return s.select("iy", "ix", F.round("z", 8).alias("z"))
+    return s.select("iy", "ix", F.round("z", 6).alias("z"))
 
 
 @register("line_overlay")
