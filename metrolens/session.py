@@ -44,8 +44,9 @@ def build_session(master: str | None = None, app: str = "metrolens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created
-    and registered, so ``DataFrame.checkpoint()`` and scratch tables work.
+    Only a local-mode session without one (tests) gets a private folder; on
+    a cluster a machine-local folder would not survive a lost executor, so
+    the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="metrolens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
