@@ -229,3 +229,14 @@ def test_degree_distance(spark):
     df = spark.createDataFrame([(0.0, 0.0, 3.0, 4.0)], "a double, b double, c double, d double")
     assert math.isclose(df.select(geometry.degree_distance("a", "b", "c", "d").alias("x")).first().x, 5.0)
     assert F is not None
+
+
+def test_smoothing_keeps_the_total_on_the_padded_grid(spark):
+    rng = np.random.default_rng(7)
+    px = spark.createDataFrame([(float(x), float(y)) for x, y in rng.uniform(0, 1280, size=(3000, 2))],
+                               "x_pixel double, y_pixel double")
+    cells = density.grid_cells(px, resolution=96)
+    n = 96 + 2 * density.default_window(96)
+    total = cells.agg(F.sum("z")).first()[0]
+    smoothed = density.gaussian_smooth(cells, n, float(density.default_window(96))).agg(F.sum("z")).first()[0]
+    assert total == 3000.0 and math.isclose(smoothed, total, rel_tol=1e-12)
