@@ -109,6 +109,20 @@ def distance_fare_export_job(spark: SparkSession, trips_path: str, out_path: str
     sinks.write_csv(t.select("fare_amount", "distance"), out_path, header=True)
 
 
+def cluster_colors_from_export(spark: SparkSession, export_path: str, k: int = 20) -> DataFrame:
+    """S9 + F11 + P22: the cluster export read by position (lat, lon, cluster; header skipped),
+    points strictly inside the NYC box, colour value cluster / k."""
+    df = readers.read_csv_by_position(spark, export_path, {0: "latitude", 1: "longitude", 2: "cluster"})
+    df = df.where(cleaning.in_open_box("latitude", "longitude"))
+    return df.select("longitude", "latitude", (F.col("cluster") / F.lit(float(k))).alias("color"))
+
+
+def distance_fare_from_export(spark: SparkSession, export_path: str) -> DataFrame:
+    """S9 + F18: the (fare, distance) export read by position, cropped to the plot window."""
+    df = readers.read_csv_by_position(spark, export_path, {0: "fare_amount", 1: "distance"})
+    return cleaning.plot_window(df)
+
+
 # ---------------------------------------------------------------- bikes
 
 

@@ -119,3 +119,25 @@ def test_stream_restart_resumes_from_checkpoint(spark):
         f.write(header + "P3,08/04/2013,A,1,1159P,1,\nP4,13/45/2013,A,1,xx,1,\n")
     stream.start_counts(spark, src, out, by="weekday", checkpoint=ckpt).awaitTermination(120)
     assert {r.day_of_week: r.tickets for r in spark.read.parquet(out).collect()} == {7: 2, 1: 1}
+
+
+def test_export_readers(spark):
+    exp = spark.createDataFrame([(40.7, -73.9, 3), (40.6, -73.9, 1), (41.5, -73.9, 2), (40.8, -73.8, 19)],
+                                "pickup_latitude double, pickup_longitude double, predction_pickup int")
+    p = scratch_path(spark, "cluster-export")
+    exp.coalesce(1).write.option("header", True).csv(p)
+    got = sorted(tuple(r) for r in jobs.cluster_colors_from_export(spark, p).collect())
+    assert got == [(-73.9, 40.7, 0.15), (-73.8, 40.8, 0.95)]  # header skipped, edge and outside points dropped
+    pairs = spark.createDataFrame([(10.0, 0.1), (70.0, 0.1), (10.0, 0.3), (0.0, 0.22)], "fare double, dist double")
+    p = scratch_path(spark, "pairs-export")
+    pairs.coalesce(1).write.option("header", True).csv(p)
+    got = sorted(tuple(r) for r in jobs.distance_fare_from_export(spark, p).collect())
+    assert got == [(0.0, 0.22), (10.0, 0.1)]
+
+
+def test_meter_exactly_on_the_box_edge_is_kept(spark):
+    from metrolens.operators import proximity
+    meters = spark.createDataFrame([("1", "POINT (-73.5 40.75)"), ("2", "POINT (-73.25 40.75)")], "MeterNo string, the_geom string")
+    tickets = spark.createDataFrame([("1",), ("2",)], "MeterNo string")
+    got = {r.MeterNo: r["count"] for r in proximity.meters_near(tickets, meters, -74.0, 40.75, 0.5).collect()}
+    assert got == {"1": 1}  # |x - cx| == 0.5 exactly is inside (inclusive); 0.75 is outside
