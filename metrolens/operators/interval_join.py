@@ -56,13 +56,26 @@ def typed_segments(segments: DataFrame, ranges: Sequence[tuple[str, str]] = DEFA
 
 def ticket_cells(tickets: DataFrame, street_col: str = "StreetName", number_col: str = "HouseNumber",
                  by: Sequence[str] = ()) -> DataFrame:
-    """Tickets pre-counted by (street, house number, *by) -> (_street, _hn, *by, _n)."""
+    """Tickets pre-counted by (street, house number, *by) -> (_street, _hn, *by, _n).
+
+    Rows with a NULL ``by`` key are not counted (``_n`` counts only rows
+    whose keys are all present); their groups carry ``_n = 0`` and vanish
+    from the final counts. Filtering them here instead would make Catalyst
+    repeat the key's derivation (e.g. a date parse) inside the scan filter.
+    """
     cells = tickets.select(
         F.col(street_col).cast("string").alias("_street"),
         F.col(number_col).try_cast("int").alias("_hn"),
         *[F.col(c) for c in by],
     ).where(F.col("_street").isNotNull() & F.col("_hn").isNotNull())
-    return cells.groupBy("_street", "_hn", *by).agg(F.count(F.lit(1)).alias("_n"))
+    if by:
+        keys_ok = None
+        for c in by:
+            keys_ok = F.col(c).isNotNull() if keys_ok is None else keys_ok & F.col(c).isNotNull()
+        n = F.count(F.when(keys_ok, F.lit(1)))
+    else:
+        n = F.count(F.lit(1))
+    return cells.groupBy("_street", "_hn", *by).agg(n.alias("_n"))
 
 
 def _range_hit(hn: Column, ranges: Sequence[tuple[str, str]]) -> Column:
@@ -163,7 +176,7 @@ def tickets_per_segment(tickets: DataFrame, segments: DataFrame, *, by: Sequence
     cells = ticket_cells(tickets, street_col, number_col, by)
     matched = match_cells(cells, segs, key_cols, label_col=label_col, ranges=ranges,
                           bin_width=bin_width, max_bins=max_bins)
-    counts = matched.groupBy(*key_cols, *by).agg(F.sum("_n").alias("_cnt"))
+    counts = matched.groupBy(*key_cols, *by).agg(F.sum("_n").alias("_cnt")).where(F.col("_cnt") > 0)
     counts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in key_cols], *by, "_cnt")
 
     full = segs.groupBy(*segment_cols).agg(F.count(F.lit(1)).alias("_mult"))

@@ -21,23 +21,35 @@ def ordered_small(df: DataFrame, *cols: str) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*cols)
 
 
-def with_ticket_hour(tickets: DataFrame, time_col: str = "ViolationTime") -> DataFrame:
+def with_ticket_hour(tickets: DataFrame, time_col: str = "ViolationTime", drop_invalid: bool = True) -> DataFrame:
     """P6-P8 + F1-F3: add ``AMPM`` ('A'/'P') and ``Hour`` (1-12); drop unusable rows.
 
     Hour 0 and 13+ in the raw text are dropped, as are rows whose letter is
-    not exactly A or P.
+    not exactly A or P. With ``drop_invalid=False`` such rows stay with NULL
+    ``Hour`` and ``AMPM`` (both set in one projection, so the text is parsed
+    once), for callers that aggregate next and count only non-NULL keys.
     """
-    df = tickets.withColumns({"AMPM": tp.ampm_letter(time_col), "Hour": tp.hour12(time_col)})
-    # IN lists test each derived value once (NULL never matches), so the
-    # parse is not repeated per conjunct when Catalyst inlines the columns.
-    return df.where(F.col("Hour").isin(*range(1, 13)) & F.col("AMPM").isin("A", "P"))
+    ampm, h12 = tp.ampm_letter(time_col), tp.hour12(time_col)
+    if drop_invalid:
+        df = tickets.withColumns({"AMPM": ampm, "Hour": h12})
+        # IN lists test each derived value once (NULL never matches).
+        return df.where(F.col("Hour").isin(*range(1, 13)) & F.col("AMPM").isin("A", "P"))
+    ok = h12.isin(*range(1, 13)) & ampm.isin("A", "P")
+    return tickets.withColumns({"AMPM": F.when(ok, ampm), "Hour": F.when(ok, h12)})
 
 
 def with_ticket_weekday(tickets: DataFrame, date_col: str = "IssueDate",
-                        pattern: str = tp.ISSUE_DATE_PATTERN) -> DataFrame:
-    """P15-P16 + F4: add ``day_of_week`` (1 = Monday ... 7 = Sunday); drop unparseable dates."""
+                        pattern: str = tp.ISSUE_DATE_PATTERN, drop_invalid: bool = True) -> DataFrame:
+    """P15-P16 + F4: add ``day_of_week`` (1 = Monday ... 7 = Sunday); drop unparseable dates.
+
+    With ``drop_invalid=False`` unparseable dates stay as NULL, for callers
+    that aggregate next and count only non-NULL keys (``tickets_by_weekday``,
+    ``interval_join.tickets_per_segment(by=...)``): Catalyst would otherwise
+    inline the parse into the pushed-down NULL filter and parse every date
+    twice.
+    """
     df = tickets.withColumn("day_of_week", tp.iso_weekday(tp.parse_date(date_col, pattern)))
-    return df.where(F.col("day_of_week").isNotNull())
+    return df.where(F.col("day_of_week").isNotNull()) if drop_invalid else df
 
 
 def tickets_by_hour(tickets: DataFrame, time_col: str = "ViolationTime",
@@ -48,16 +60,19 @@ def tickets_by_hour(tickets: DataFrame, time_col: str = "ViolationTime",
     driver; the mapping is one-to-one, so grouping by the 24-hour value
     gives the same counts in one cluster-side aggregate.
     """
-    df = with_ticket_hour(tickets, time_col)
-    counts = df.groupBy(tp.hour24("Hour", "AMPM").alias(hour_col)).agg(F.count(F.lit(1)).alias(count_col))
-    return ordered_small(counts, hour_col)
+    df = with_ticket_hour(tickets, time_col, drop_invalid=False)
+    counts = df.groupBy(tp.hour24("Hour", "AMPM").alias(hour_col)).agg(F.count(hour_col).alias(count_col))
+    return ordered_small(counts.where(F.col(count_col) > 0), hour_col)
 
 
 def tickets_by_weekday(tickets: DataFrame, date_col: str = "IssueDate",
                        pattern: str = tp.ISSUE_DATE_PATTERN, count_col: str = "tickets") -> DataFrame:
     """A2: ticket count per ISO weekday (at most 7 rows), ordered by day."""
-    df = with_ticket_weekday(tickets, date_col, pattern)
-    return ordered_small(df.groupBy("day_of_week").agg(F.count(F.lit(1)).alias(count_col)), "day_of_week")
+    df = with_ticket_weekday(tickets, date_col, pattern, drop_invalid=False)
+    # count(day) skips unparseable dates; their NULL group (count 0) is dropped
+    # after the aggregate, so each date is parsed once.
+    counts = df.groupBy("day_of_week").agg(F.count("day_of_week").alias(count_col)).where(F.col(count_col) > 0)
+    return ordered_small(counts, "day_of_week")
 
 
 def monthly_trips(trips: DataFrame, ts_col: str = "tpep_pickup_datetime",

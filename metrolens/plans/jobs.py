@@ -43,7 +43,7 @@ def tickets_per_segment_job(spark: SparkSession, tickets_path: str, segments_pat
 
 def tickets_per_segment_by_day_job(spark: SparkSession, tickets_path: str, segments_path: str, out_path: str) -> None:
     """A4 + K3: one job, output partitioned by ``day_of_week`` (instead of seven jobs)."""
-    t = temporal.with_ticket_weekday(readers.load_parking_tickets(spark, tickets_path))
+    t = temporal.with_ticket_weekday(readers.load_parking_tickets(spark, tickets_path), drop_invalid=False)
     s = readers.load_street_segments(spark, segments_path)
     out = ij.tickets_per_segment(t, s, by=["day_of_week"]).select("the_geom", "count", "day_of_week")
     sinks.write_partitioned_csv(out, out_path, ["day_of_week"])
@@ -51,7 +51,7 @@ def tickets_per_segment_by_day_job(spark: SparkSession, tickets_path: str, segme
 
 def tickets_per_segment_by_hour_job(spark: SparkSession, tickets_path: str, segments_path: str, out_path: str) -> None:
     """A5 + K1: (the_geom, count, Hour, AMPM)."""
-    t = temporal.with_ticket_hour(readers.load_parking_tickets(spark, tickets_path))
+    t = temporal.with_ticket_hour(readers.load_parking_tickets(spark, tickets_path), drop_invalid=False)
     s = readers.load_street_segments(spark, segments_path)
     out = ij.tickets_per_segment(t, s, by=["Hour", "AMPM"]).select("the_geom", "count", "Hour", "AMPM")
     sinks.write_csv(out, out_path)

@@ -50,7 +50,7 @@ def q_tickets_per_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("tickets_per_segment_day")
 def q_tickets_per_segment_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + A4: tickets per segment and ISO weekday, one job for all seven days."""
-    tickets = temporal.with_ticket_weekday(syn.tickets_from_lineitem(spark, sf_dir))
+    tickets = temporal.with_ticket_weekday(syn.tickets_from_lineitem(spark, sf_dir), drop_invalid=False)
     out = ij.tickets_per_segment(tickets, syn.segments_from_supplier(spark, sf_dir), by=["day_of_week"])
     return out.select(F.col("PHYSICALID").alias("physical_id"), "the_geom", "day_of_week",
                       F.col("count").alias("tickets"))
@@ -59,7 +59,7 @@ def q_tickets_per_segment_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("tickets_per_segment_hour")
 def q_tickets_per_segment_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + A5: tickets per segment, hour (1-12) and AM/PM."""
-    tickets = temporal.with_ticket_hour(syn.tickets_from_events(spark, sf_dir))
+    tickets = temporal.with_ticket_hour(syn.tickets_from_events(spark, sf_dir), drop_invalid=False)
     out = ij.tickets_per_segment(tickets, syn.segments_from_supplier(spark, sf_dir), by=["Hour", "AMPM"])
     return out.select(F.col("PHYSICALID").alias("physical_id"), "the_geom",
                       F.col("Hour").alias("hour12"), F.col("AMPM").alias("ampm"), F.col("count").alias("tickets"))

@@ -20,7 +20,7 @@ for k in (1, 4, 16):
     t = t.cache(); n = t.count()
     segs = syn.segments_from_supplier(spark, sf)
     for label, mk in [("segment", lambda: ij.tickets_per_segment(t, segs)),
-                      ("segment_day", lambda: ij.tickets_per_segment(temporal.with_ticket_weekday(t), segs, by=["day_of_week"])),
+                      ("segment_day", lambda: ij.tickets_per_segment(temporal.with_ticket_weekday(t, drop_invalid=False), segs, by=["day_of_week"])),
                       ("by_hour", lambda: temporal.tickets_by_hour(t))]:
         best = 1e9
         for _ in range(2):

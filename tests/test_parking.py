@@ -129,3 +129,17 @@ def test_segment_bounds_try_cast(spark):
     segs = ij.typed_segments(fx.segments(spark))
     r = segs.where(F.col("PHYSICALID") == 5).first()
     assert r.L_LOW_HN is None and r.L_HIGH_HN == 50
+
+
+def test_unparseable_dates_are_not_counted_by_day(spark):
+    t = temporal.with_ticket_weekday(_tickets(spark), drop_invalid=False)
+    out = ij.tickets_per_segment(t, fx.segments(spark), by=["day_of_week"])
+    ref = ij.tickets_per_segment_direct(temporal.with_ticket_weekday(_tickets(spark)), fx.segments(spark),
+                                        by=["day_of_week"])
+    cols = ["PHYSICALID", "day_of_week", "count"]
+    got = sorted(tuple(r) for r in out.select(cols).collect())
+    assert got == sorted(tuple(r) for r in ref.select(cols).collect())
+    assert all(r[1] is not None for r in got)
+    plan = t.groupBy("day_of_week").count()._jdf.queryExecution().optimizedPlan().toString()
+    scan_filter = [ln for ln in plan.splitlines() if "Filter" in ln]
+    assert not any("gettimestamp" in ln for ln in scan_filter)
