@@ -17,11 +17,18 @@ points on an edge are not vertices. Clusters with fewer than
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The pandas functions below run in Python workers. Ship this module's code
+# with them (by value) so workers need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _interior_mask(xy: np.ndarray) -> np.ndarray:
     """Points strictly inside the polygon of the extreme points (never hull vertices; Akl-Toussaint).
