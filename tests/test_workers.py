@@ -20,8 +20,7 @@ spark.stop()
 
 
 def test_hulls_run_from_another_working_directory():
-    with tempfile.TemporaryDirectory() as d:
-        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-        out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=d, env=env, capture_output=True, text=True,
-                             timeout=300)
+    d = tempfile.mkdtemp(prefix="metrolens-cwd-")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=d, env=env, capture_output=True, text=True, timeout=300)
     assert "vertices 3" in out.stdout, out.stderr[-2000:]
