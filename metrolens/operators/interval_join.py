@@ -26,13 +26,17 @@ Plan (Spark-first, built-in operators only):
 4. Counts per narrow segment key are joined back (null-safe) to the full
    segment rows, which carry the wide geometry text only at the end.
 
-No join side is hinted: AQE broadcasts the binned segment side when its
-runtime size is under the broadcast threshold, and falls back to a
-sort-merge join on (street, level, bin) otherwise.
+The binned segment side is broadcast only behind a size check: a small job
+over the segment keys counts the bin rows exactly (an upper bound before
+de-duplication), and only if that count times a row-size bound fits
+``spark.sql.autoBroadcastJoinThreshold`` is it broadcast; otherwise both
+sides are shuffled on (street, level, bin) with a sort-merge join. Spark's
+own estimates cannot be used here because they do not see the explode.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,6 +99,23 @@ def _level_widths(bin_width: int, fanout: int, max_value: int = 2**31) -> list[i
     return widths
 
 
+BIN_ROW_BYTES = 128  # generous bound for one (segment key, level, bin) row in a hashed relation
+
+
+def _threshold_bytes(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 when broadcasting is off)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", raw)
+    if not m:
+        return -1
+    return int(m.group(1)) * 1024 ** " kmgt".index(m.group(2) or " ")
+
+
+def _broadcast_fits(spark, rows: int) -> bool:
+    limit = _threshold_bytes(spark)
+    return limit >= 0 and rows * BIN_ROW_BYTES <= limit
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -143,12 +164,22 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
 
     seg = segments.select(*key_cols).distinct()
     seg = seg.select(*key_cols, F.expr(level_sql).cast("int").alias("_lvl"))
-    # The levels in use (at most len(widths) small integers, read from the
-    # small segment side) decide how many times each ticket cell is listed.
-    used = sorted(r[0] for r in seg.where(F.col("_lvl").isNotNull()).select("_lvl").distinct().collect())
-    used = used or [1]
+    # One small job over the segment keys returns, per level in use, an upper
+    # bound of its bin rows (at most len(widths) rows reach the driver). The
+    # levels decide how often each ticket cell is listed; the bin-row count
+    # decides the join strategy below, because no size estimate (static or
+    # AQE's, which is measured before the explode) sees the exploded rows.
+    n_sql = f"element_at(transform({widths_sql}, w -> {' + '.join(counts)}), _lvl)"
+    stats = (seg.where(F.col("_lvl").isNotNull()).groupBy("_lvl")
+                .agg(F.sum(F.expr(n_sql)).alias("_rows")).collect())
+    used = sorted(r["_lvl"] for r in stats) or [1]
+    bin_rows = sum(int(r["_rows"]) for r in stats)
     seg = seg.select(*key_cols, "_lvl", F.expr(f"element_at({widths_sql}, _lvl)").alias("_w"))
     seg_bins = seg.select(*key_cols, "_lvl", F.explode(F.expr(bins_sql)).alias("_bin"))
+    if _broadcast_fits(segments.sparkSession, bin_rows):
+        seg_bins = F.broadcast(seg_bins)          # size checked just above
+    else:
+        seg_bins = seg_bins.hint("merge")         # shuffle both sides on (street, level, bin)
 
     cell_levels = "explode(array(" + ", ".join(
         f"named_struct('l', {lvl}, 'b', floor(CAST(_hn AS BIGINT) / {widths[lvl - 1]}))" for lvl in used) + "))"

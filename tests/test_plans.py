@@ -61,4 +61,21 @@ def test_only_bounded_frames_are_hinted():
                 depth += {"(": 1, ")": -1}.get(src[i], 0)
                 i += 1
             found.add(src[m.end():i - 1])
-    assert found == {"r", "f", "kernel", "invalid_marker_count(df, lat_col, lon_col)"}
+    # seg_bins is broadcast only behind the exact bin-row count check in interval_join
+    assert found == {"r", "f", "kernel", "invalid_marker_count(df, lat_col, lon_col)", "seg_bins"}
+
+
+def test_interval_join_size_check(spark):
+    assert ij._threshold_bytes(spark) > 0
+    assert ij._broadcast_fits(spark, 1000)
+    assert not ij._broadcast_fits(spark, 10**9)
+    q = registry.all_queries()["tickets_per_segment_day"]
+    broadcast_rows = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not ij._broadcast_fits(spark, 1)
+        df = q(spark, SF_SMALL)
+        assert re.search(r"SortMergeJoin \[_street#\d+, _clvl#\d+, _cbin#\d+L?\]", _plan(df))
+        assert sorted(tuple(r) for r in df.collect()) == broadcast_rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
