@@ -20,15 +20,17 @@ Plan (Spark-first, built-in operators only):
    remains as a residual filter.
 3. Segments whose ranges span more than ``max_bins`` bins are exploded at a
    coarser bin level instead (widths grow by ``max_bins`` per level), and
-   ticket cells are listed once per level, so one equi-join on
+   ticket cells are listed once per level in use, so one equi-join on
    (street, level, bin) covers every range exactly: nothing is capped or
    dropped, and a very wide segment adds at most ``max_bins`` rows.
+   Cells whose extra keys are NULL (unparseable date or time) count 0 and
+   their groups are dropped after the final aggregate.
 4. Counts per narrow segment key are joined back (null-safe) to the full
    segment rows, which carry the wide geometry text only at the end.
 
 The binned segment side is broadcast only behind a size check: a small job
-over the segment keys counts the bin rows exactly (an upper bound before
-de-duplication), and only if that count times a row-size bound fits
+over the segment keys bounds the number of bin rows (overlapping left and
+right bins are de-duplicated afterwards), and only if that count times a row-size bound fits
 ``spark.sql.autoBroadcastJoinThreshold`` is it broadcast; otherwise both
 sides are shuffled on (street, level, bin) with a sort-merge join. Spark's
 own estimates cannot be used here because they do not see the explode.
