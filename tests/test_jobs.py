@@ -141,3 +141,16 @@ def test_meter_exactly_on_the_box_edge_is_kept(spark):
     tickets = spark.createDataFrame([("1",), ("2",)], "MeterNo string")
     got = {r.MeterNo: r["count"] for r in proximity.meters_near(tickets, meters, -74.0, 40.75, 0.5).collect()}
     assert got == {"1": 1}  # |x - cx| == 0.5 exactly is inside (inclusive); 0.75 is outside
+
+
+def test_ticket_csv_with_extra_columns_in_any_order(spark):
+    from metrolens.sources import load_parking_tickets
+    d = _local(scratch_path(spark, "tickets-wide"))
+    os.makedirs(d)
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write("Summons Number,Meter Number,Violation Time,Street Name,Issuer Code,House Number,Plate Id,Issue Date,Extra\n")
+        f.write("1,123-4567,0623A,MAIN ST,12,40,ABC,08/04/2013,x\n")
+        f.write("2,,1159P,MAIN ST,abc,7A,DEF,13/45/2013,y\n")
+    rows = sorted(tuple(r) for r in load_parking_tickets(spark, d).collect())
+    assert rows == [("ABC", "08/04/2013", "MAIN ST", "40", "0623A", 12, "123-4567"),
+                    ("DEF", "13/45/2013", "MAIN ST", "7A", "1159P", None, None)]
