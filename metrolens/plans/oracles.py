@@ -256,11 +256,13 @@ select cluster, cast(row_number() over (order by cluster desc) - 1 as int) as co
 from (select distinct l_suppkey % 7 as cluster from lineitem)""",
 
     "street_points": """
-select feature_id, cast(row_number() over (partition by feature_id order by n, x, y) - 1 as int) as point_index,
-       round(x, 6) as x, round(y, 6) as y
-from (select l_orderkey as feature_id, l_linenumber as n, -74.0::double + l_discount as x,
-             40.5::double + l_quantity / 100.0::double as y
-      from lineitem where l_linenumber <= 3)""",
+select l_orderkey * 100 + l_linenumber as feature_id, 0 as point_index,
+       round(-74.0::double + l_discount, 6) as x, round(40.5::double + l_quantity / 100.0::double, 6) as y
+from lineitem
+union all
+select l_orderkey * 100 + l_linenumber, 1,
+       round(-74.0::double + l_tax, 6), round(40.5::double + l_linenumber::double / 100.0::double, 6)
+from lineitem""",
 
     "fare_distance_fit": f"""
 with d0 as (select *, {_DIST} as distance from ({_TAXI})

@@ -207,15 +207,13 @@ def cluster_points_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def street_features_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GeoJSON features: one per order, a two-line geometry (line numbers 1-3, then the rest)."""
+    """GeoJSON features, one per line item (no grouping): a two-line geometry whose first
+    line has two points (discount / quantity and tax / line number) and whose second
+    line (which readers must ignore) has one constant point. id = order key * 100 + line number."""
     li = table(spark, sf_dir, "lineitem")
-    pt = F.struct(F.col("l_linenumber").alias("n"),
-                  F.array(F.lit(-74.0) + F.col("l_discount"), F.lit(40.5) + F.col("l_quantity") / 100.0).alias("xy"))
-    g = li.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.when(F.col("l_linenumber") <= 3, pt))).alias("a"),
-        F.sort_array(F.collect_list(F.when(F.col("l_linenumber") > 3, pt))).alias("b"))
-    line_a = F.transform("a", lambda s: s["xy"])
-    line_b = F.transform("b", lambda s: s["xy"])
-    coords = F.when(F.size("b") > 0, F.array(line_a, line_b)).otherwise(F.array(line_a))
-    return g.select(F.lit("Feature").alias("type"), F.col("l_orderkey").alias("id"),
-                    F.struct(F.lit("MultiLineString").alias("type"), coords.alias("coordinates")).alias("geometry"))
+    p1 = F.array(F.lit(-74.0) + F.col("l_discount"), F.lit(40.5) + F.col("l_quantity") / 100.0)
+    p2 = F.array(F.lit(-74.0) + F.col("l_tax"), F.lit(40.5) + F.col("l_linenumber") / 100.0)
+    second = F.array(F.array(F.lit(-73.0), F.lit(41.0)))
+    coords = F.array(F.array(p1, p2), second)
+    return li.select(F.lit("Feature").alias("type"), (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+                     F.struct(F.lit("MultiLineString").alias("type"), coords.alias("coordinates")).alias("geometry"))
