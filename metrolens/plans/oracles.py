@@ -298,3 +298,27 @@ from lineitem group by 1, 2""",
 })
 
 ORACLES["stream_tickets_by_hour"] = ORACLES["tickets_by_hour"]
+
+
+def _chain_sql(points: str) -> str:
+    """Monotone-chain half hull of an (x, y)-sorted point list: popping while the turn is not
+    to the left keeps exactly the prefix up to the last left turn, found with list_filter."""
+    cross = ("(acc[i].x - acc[i - 1].x) * (q.y - acc[i - 1].y) "
+             "- (acc[i].y - acc[i - 1].y) * (q.x - acc[i - 1].x) > 0")
+    keep = f"coalesce(list_max(list_filter(range(2, len(acc) + 1), lambda i: {cross})), 1)"
+    return (f"list_reduce({points}, lambda acc, q: list_concat(acc[1:{keep}], [q]), "
+            f"[]::STRUCT(x DOUBLE, y DOUBLE)[])")
+
+
+ORACLES["cluster_hulls"] = f"""
+with p as (select l_suppkey % 7 as cluster, l_extendedprice / 1000.0::double as x,
+                  l_quantity + l_discount * 10.0::double as y from lineitem),
+n as (select cluster, count(*) as n_points from p group by cluster),
+s as (select cluster, list({{'x': x, 'y': y}} order by x, y) as pts
+      from (select distinct cluster, x, y from p) group by cluster),
+c as (select cluster, {_chain_sql('pts')} as lower, {_chain_sql('list_reverse(pts)')} as upper from s),
+h as (select cluster, list_concat(lower[1:len(lower) - 1], upper[1:len(upper) - 1]) as hull from c)
+select cluster, cast(i as int) as vertex, pt.x as x, pt.y as y, n_points
+from (select h.cluster, unnest(hull) as pt, unnest(range(len(hull))) as i, n.n_points
+      from h join n on h.cluster = n.cluster
+      where len(hull) >= 3 and n.n_points >= 3)"""

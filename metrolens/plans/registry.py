@@ -253,7 +253,7 @@ def q_line_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("cluster_hulls")
 def q_cluster_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G7 + A14: convex hull vertices per cluster (rows-only; tested against brute force)."""
+    """G7 + A14: convex hull vertices per cluster, in order (SQL oracle: monotone chain over lists)."""
     return hull.cluster_hulls(syn.cluster_points_from_lineitem(spark, sf_dir))
 
 

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 
 from .conftest import SF_SMALL
 
-ROWS_ONLY = {"cluster_hulls", "fare_regression_distance", "fare_regression_buckets", "fare_regression_clusters",
+ROWS_ONLY = {"fare_regression_distance", "fare_regression_buckets", "fare_regression_clusters",
              "pickup_clusters", "quantile_buckets"}
 
 
