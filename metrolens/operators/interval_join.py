@@ -65,8 +65,8 @@ def ticket_cells(tickets: DataFrame, street_col: str = "StreetName", number_col:
     """Tickets pre-counted by (street, house number, *by) -> (_street, _hn, *by, _n).
 
     Rows with a NULL ``by`` key are not counted (``_n`` counts only rows
-    whose keys are all present); their groups carry ``_n = 0`` and vanish
-    from the final counts. Filtering them here instead would make Catalyst
+    whose keys are all present); their groups carry ``_n = 0`` and are
+    dropped after the aggregate. Filtering them here instead would make Catalyst
     repeat the key's derivation (e.g. a date parse) inside the scan filter.
     """
     cells = tickets.select(
@@ -81,7 +81,10 @@ def ticket_cells(tickets: DataFrame, street_col: str = "StreetName", number_col:
         n = F.count(F.when(keys_ok, F.lit(1)))
     else:
         n = F.count(F.lit(1))
-    return cells.groupBy("_street", "_hn", *by).agg(n.alias("_n"))
+    out = cells.groupBy("_street", "_hn", *by).agg(n.alias("_n"))
+    # a filter on the aggregate's output stays above it: cells of NULL keys
+    # leave before the join without re-deriving the keys in the scan
+    return out.where(F.col("_n") > 0) if by else out
 
 
 def _range_hit(hn: Column, ranges: Sequence[tuple[str, str]]) -> Column:
