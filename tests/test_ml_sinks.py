@@ -143,3 +143,27 @@ def test_series_json(spark):
     files = glob.glob(p.replace("file:", "") + "/*.json")
     data = [json.loads(line) for f in files for line in open(f) if line.strip()]
     assert data == [{"keys": [0, 7, 13], "values": [2, 1, 5]}]
+
+
+def test_sketch_splits_within_the_error_bound(spark):
+    from pyspark.ml.feature import QuantileDiscretizer
+
+    from .conftest import SF_CHECK
+    path = f"{SF_CHECK}/lineitem.parquet"
+    li = spark.read.parquet(path)
+    model = QuantileDiscretizer(numBuckets=10, inputCol="l_extendedprice", outputCol="b",
+                                relativeError=0.001).fit(li)
+    splits = model.getSplits()[1:-1]
+    con = duckdb.connect()
+    n = con.execute(f"select count(*) from '{path}'").fetchone()[0]
+    assert splits == sorted(splits)
+    for i, s in enumerate(splits, start=1):
+        below = con.execute(f"select count(*) from '{path}' where l_extendedprice < {s!r}").fetchone()[0]
+        at_or_below = con.execute(f"select count(*) from '{path}' where l_extendedprice <= {s!r}").fetchone()[0]
+        target = i / 10 * n
+        # some rank of the split value lies within the sketch's guarantee of the target rank
+        assert below - 0.001 * n - 1 <= target <= at_or_below + 0.001 * n + 1
+    # the registered query's buckets hold about a tenth of the rows each
+    rows = [r.rows for r in __import__("metrolens.plans.registry", fromlist=["x"]).all_queries()["quantile_buckets"](
+        spark, SF_CHECK).collect()]
+    assert sum(rows) == n and all(abs(r - n / 10) <= 0.002 * n + 2 for r in rows)
