@@ -167,3 +167,19 @@ def test_sketch_splits_within_the_error_bound(spark):
     rows = [r.rows for r in __import__("metrolens.plans.registry", fromlist=["x"]).all_queries()["quantile_buckets"](
         spark, SF_CHECK).collect()]
     assert sum(rows) == n and all(abs(r - n / 10) <= 0.002 * n + 2 for r in rows)
+
+
+def test_pickup_clusters_assign_nearest_centre(spark):
+    from metrolens.plans import synthetic as syn
+
+    from .conftest import SF_CHECK
+    trips = syn.taxi_trips_from_events(spark, SF_CHECK)
+    model, out = ml.kmeans_clusters(trips, ["pickup_latitude", "pickup_longitude"])
+    centres = np.array([list(c) for c in model.clusterCenters()])
+    pdf = out.select("pickup_latitude", "pickup_longitude", "predction_pickup").toPandas()
+    assert len(centres) == 20 and pdf.predction_pickup.between(0, 19).all()
+    pts = pdf[["pickup_latitude", "pickup_longitude"]].to_numpy()
+    d = ((pts[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    best = d.min(axis=1)
+    chosen = d[np.arange(len(pts)), pdf.predction_pickup.to_numpy()]
+    assert np.allclose(chosen, best, rtol=0, atol=1e-12)
