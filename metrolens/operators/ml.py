@@ -111,6 +111,8 @@ def regression_metrics(pred: DataFrame, label_col: str = "label", prediction_col
 class FitResult:
     model: object
     metrics: DataFrame
+    train: DataFrame | None = None
+    test: DataFrame | None = None
 
 
 def _train_and_score(data: DataFrame, fit_intercept: bool, seed: int) -> FitResult:
@@ -118,7 +120,7 @@ def _train_and_score(data: DataFrame, fit_intercept: bool, seed: int) -> FitResu
     model = fit_linear(train, fit_intercept)
     test_m = regression_metrics(model.transform(test), prefix="test_")
     train_m = regression_metrics(model.transform(train), prefix="train_")
-    return FitResult(model, test_m.crossJoin(train_m))
+    return FitResult(model, test_m.crossJoin(train_m), train, test)
 
 
 def fare_regression_clusters(trips: DataFrame, seed: int = 7, sample_fraction: float | None = None,

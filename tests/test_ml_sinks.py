@@ -183,3 +183,24 @@ def test_pickup_clusters_assign_nearest_centre(spark):
     best = d.min(axis=1)
     chosen = d[np.arange(len(pts)), pdf.predction_pickup.to_numpy()]
     assert np.allclose(chosen, best, rtol=0, atol=1e-12)
+
+
+def test_distance_regression_split_and_least_squares(spark):
+    from metrolens.plans import synthetic as syn
+
+    from .conftest import SF_CHECK
+    trips = syn.taxi_trips_from_lineitem(spark, SF_CHECK)
+    r = ml.fare_regression_distance(trips, seed=7)
+    tr = r.train.toPandas()
+    te = r.test.toPandas()
+    x = np.array([v[0] for v in tr.features])
+    y = tr.label.to_numpy()
+    b, a = np.polyfit(x, y, 1)
+    assert math.isclose(r.model.coefficients[0], b, rel_tol=1e-8) and math.isclose(r.model.intercept, a, rel_tol=1e-8)
+    m = r.metrics.first()
+    assert m.train_n == len(tr) and m.test_n == len(te)
+    window = cleaning.fare_distance_window(cleaning.with_trip_distance(cleaning.within_nyc(trips))).count()
+    assert len(tr) + len(te) == window and 0.7 < len(tr) / window < 0.9
+    xt = np.array([v[0] for v in te.features])
+    rmse = float(np.sqrt(np.mean((a + b * xt - te.label.to_numpy()) ** 2)))
+    assert math.isclose(m.test_rmse, rmse, rel_tol=1e-9)
