@@ -29,7 +29,8 @@ def _canon(cols, rows):
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
-    assert df.columns == ["physical_id", "the_geom", "tickets"]
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("physical_id", "int"), ("the_geom", "string"), ("tickets", "bigint")]
     assert df.count() > 0
 
 
