@@ -204,3 +204,11 @@ def test_distance_regression_split_and_least_squares(spark):
     xt = np.array([v[0] for v in te.features])
     rmse = float(np.sqrt(np.mean((a + b * xt - te.label.to_numpy()) ** 2)))
     assert math.isclose(m.test_rmse, rmse, rel_tol=1e-9)
+
+
+def test_geocode_latitude_bound_is_strict(spark):
+    from metrolens.operators import geocode
+    trips = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "D")], "trip_id int, address string")
+    pts = spark.createDataFrame([("A", 49.99, -74.0), ("B", 50.0, -74.0), ("C", 51.0, -74.0)],
+                                "address string, latitude double, longtitude double")
+    assert sorted(r.trip_id for r in geocode.geocode(trips, pts).collect()) == [1]  # 50 and above, and no match, drop
