@@ -22,13 +22,15 @@ SPACE = r"[\x20\x09-\x0D]"
 SHORTEST, LONGEST = 512, 8192
 
 
-def boundary(remainder: int, modulus: int = 16, last: int = 0x52F) -> str:
-    """Character class of the letters up to ``last`` whose code point leaves ``remainder``."""
-    return "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x30, last) if c % modulus == remainder and chr(c).isalnum()) + "]"
+def boundary(remainder: int, *ranges: str) -> str:
+    """Character class of the Latin-1 letters and digits whose code point leaves ``remainder`` by 16, and of ``ranges``."""
+    return "[" + "".join(f"\\x{{{c:x}}}" for c in range(0x30, 0x100) if c % 16 == remainder and chr(c).isalnum()) + "".join(ranges) + "]"
 
 
-#: A chunk ends after a pair of boundary characters (about one place in 150 of Latin text), or is the rest of the text.
-CHUNK = f"(?s).{{{SHORTEST},{LONGEST}}}?(?<={boundary(5)}{boundary(3)})|.{{1,{LONGEST}}}"
+#: A chunk ends after a pair of boundary characters (about one place in 150 of Latin text; the ranges serve Cyrillic
+#: and Chinese), or at the longest length, or is the rest of the text.
+CHUNK = (f"(?s).{{{SHORTEST},{LONGEST}}}?(?<={boundary(5, '\\u0430-\\u0431', '\\u4e00-\\u52ff')}"
+         f"{boundary(3, '\\u0435-\\u0436', '\\u5000-\\u54ff')})|.{{1,{LONGEST}}}")
 
 
 def normalised(text: Column) -> Column:
