@@ -1,9 +1,10 @@
 """Connected groups of rows that share buckets, without all pairs of a bucket.
 
-``link`` gets entries (bucket key, node) and a check of pairs. Rounds: each bucket elects a hub, all its rows of
-other groups are checked against the hub alone, and groups are joined. When few pairs of different groups are left
-in the buckets, all of these are checked. So no pair of one bucket goes untested unless both rows are in one group
-already: the groups are those that all pairs would give, while a bucket of n copies costs about n checks a round.
+``link`` gets entries (bucket key, node) and a check of pairs. Rounds: each bucket elects a hub; every node is checked
+against HUBS hubs of other groups, the least of its buckets' hubs by a hash that changes with the round, and groups
+are joined. When few pairs of different groups are left in the buckets, or a round no longer halves them, all of
+these are checked. So no pair of one bucket goes untested unless both rows are in one group already: the groups are those
+that all pairs would give, while a bucket of n near copies costs about HUBS * n checks a round.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from metrolens.llm.common import settled
 
 #: Hub rounds go on while the untested pairs number more than this for each node in shared buckets.
-PAIRS_PER_NODE = 2
-MAX_ROUNDS = 12
+PAIRS_PER_NODE = 4
+MAX_ROUNDS = 5
+HUBS = 3
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,51 +45,51 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     return settled(entries.join(many, "k", "left_semi"))
 
 
-def link(live: DataFrame, check: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column]) -> DataFrame | None:
-    """Groups of the nodes in ``live`` (k, node, further columns), a settled frame of shared buckets.
+def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column]) -> DataFrame | None:
+    """Groups of the nodes in ``live`` (k, node), a settled frame of shared buckets.
 
     ``check`` returns the rows of pairs (a, b) that are linked. ``may(x, y)`` is a cheap condition that linked pairs
-    meet, on the further columns of two aliased rows. Returns (node, component) or None if nothing is linked.
+    meet, on the columns of ``details`` (node, ...) of two aliased rows. Returns (node, component) or None if nothing
+    is linked.
     """
-    spark = live.sparkSession
-    extras = [c for c in live.columns if c not in ("k", "node")]
+    extras = [c for c in details.columns if c != "node"]
     nodes = live.select("node").distinct().count()
-    edges = tested = labels = None
-    last = None
+    tested = labels = last = None
     for turn in range(MAX_ROUNDS + 1):
         if labels is None:
             now = live.withColumn("comp", F.col("node"))
         else:
             now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        now = now.select("k", "node", "comp", *extras)
         per = now.groupBy("k", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("k").agg(
             ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
         open_ = settled(per.filter("pairs > 0"))
         left = open_.agg(F.sum("pairs").alias("p")).first()["p"] or 0
         if not left:
             break
-        now = now.join(open_.select("k"), "k", "left_semi")
-        final = left <= PAIRS_PER_NODE * nodes or turn == MAX_ROUNDS or (last is not None and left > 0.95 * last)
+        now = settled(now.join(open_.select("k"), "k", "left_semi").join(details, "node").select("k", "node", "comp", *extras))
+        final = left <= PAIRS_PER_NODE * nodes or turn == MAX_ROUNDS or (last is not None and left > 0.5 * last)
         last = left
+        x = now.alias("x")
         if final:
-            x, y = now.alias("x"), now.alias("y")
+            y = now.alias("y")
             pairs = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node"))
-                           & (F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
+                           & (F.col("x.comp") != F.col("y.comp")) & may("x", "y")).select("x.node", F.col("y.node").alias("hub"))
         else:
             hub = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp", *extras)).alias("hub")
-            hubs = now.groupBy("k").agg(hub).select("k", "hub.*").drop("h")
-            x, y = now.alias("x"), hubs.alias("y")
-            pairs = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
-        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+            y = now.groupBy("k").agg(hub).select("k", "hub.*").alias("y")
+            near = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.comp") != F.col("y.comp")) & may("x", "y"))
+            least = F.slice(F.array_sort(F.collect_set(F.struct("y.h", F.col("y.node").alias("hub")))), 1, HUBS)  # of a node's few buckets
+            pairs = near.groupBy("x.node").agg(least.alias("least")).select("node", F.explode("least").alias("y")).select("node", "y.hub")
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settled(pairs)
         if not pairs.isEmpty():
             found = settled(check(pairs).select("a", "b"))
-            edges = found if edges is None else edges.union(found)
-            tested = pairs if tested is None else tested.union(pairs)
+            tested = pairs if tested is None else settled(tested.union(pairs))
             if not found.isEmpty():
-                labels = components(edges if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+                edges = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+                labels = components(edges)
         if final:
             break
     return labels

@@ -3,7 +3,9 @@
 Method: a document's set of 5-word shingles is hashed under PERMUTATIONS functions, of which each gives two
 signature values, its minimum and its maximum: half the hash evaluations for the same length, unbiased, and of
 lower variance since the two move against each other. ROWS values make a band; documents that agree in a band are
-candidates (at similarity 0.75 a link is missed with probability 0.00008). Documents of the same word sequence are
+candidates (at similarity 0.75 a link is missed with probability 0.00008). Pairs whose signatures agree in fewer
+values than a similarity of 0.75 gives, less six standard deviations, are left out unread (two bits a value are
+compared; a link is missed with probability 10^-9). Documents of the same word sequence are
 first joined in one class. Candidates are confirmed on their full sets of shingles: 100 * intersection >=
 75 * union. Buckets are linked by hubs (see ``linking``), so groups of thousands of copies cost no pairs.
 
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metrolens.llm.common import broadcast_if_small, settled, ship, text_rows
@@ -34,6 +36,10 @@ SHINGLE = 5
 BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
 THRESHOLD = 75  # per cent
+SKETCH = (2 * PERMUTATIONS + 31) // 32  # longs of two-bit values
+#: Least agreeing two-bit values: J + (1 - J) / 4 agree on average.
+_SHARE = THRESHOLD / 100 + (1 - THRESHOLD / 100) / 4
+AGREE = int(2 * PERMUTATIONS * _SHARE - 6 * (2 * PERMUTATIONS * _SHARE * (1 - _SHARE)) ** 0.5)
 SEED = 20_240_917
 
 
@@ -111,35 +117,44 @@ class MinMax:
             out[i:i + step, 0], out[i:i + step, 1] = x.min(axis=1), x.max(axis=1)
         return out
 
-    def band_keys(self, s: np.ndarray) -> np.ndarray:
-        values = self.signature(s).reshape(self.bands, -1)
+    def band_keys(self, signature: np.ndarray) -> np.ndarray:
+        values = signature.reshape(self.bands, -1)
         key = self.salts.copy()
         for i in range(values.shape[1]):
             key = mixed(key ^ values[:, i])
         return key.view(np.int64)
 
+    @staticmethod
+    def sketch(signature: np.ndarray) -> np.ndarray:
+        """Two bits of each value, 32 values to a long."""
+        two = np.zeros(-(-signature.size // 32) * 32, np.uint64)
+        two[:signature.size] = (signature.reshape(-1) >> np.uint64(20)) & np.uint64(3)
+        return np.bitwise_or.reduce(two.reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2)), axis=1).view(np.int64)
+
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, n_shingles long, sequence binary (digest of the words), bands array<long>; the last two are null
-    without words."""
+    """uid, doc_id, n_shingles long, sequence binary (digest of the words), bands and sketch array<long>; the last
+    three are null without words."""
     fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sequence", pa.binary()),
-              ("bands", pa.list_(pa.int64()))]
+              ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = MinMax()
         for batch in batches:
-            sizes, digests, bands = [], [], []
+            sizes, digests, bands, sketches = [], [], [], []
             for text in batch.column(2):
                 words = word_list(text.as_py())
                 s = kernel.shingles(words)
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None)
-                bands.append(kernel.band_keys(s) if words else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(
-                digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=[n for n, _ in fields])
+                signature = kernel.signature(s) if words else None
+                bands.append(kernel.band_keys(signature) if words else None)
+                sketches.append(kernel.sketch(signature) if words else None)
+            columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, (_, t) in zip((sizes, digests, bands, sketches), fields[2:]))]
+            yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
     rows = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    return rows.mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>")
+    return rows.mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>, sketch array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -168,17 +183,23 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: uid, doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     signed = settled(signatures(docs))
     named = signed.filter("sequence is not null and doc_id is not null")
-    classes = settled(named.groupBy("sequence").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"),
-                                                    F.min_by("uid", F.struct("doc_id", "uid")).alias("uid"),
-                                                    F.first("n_shingles").alias("size")))
-    live = shared_buckets(classes.select(F.explode("bands").alias("k"), "node", "size"))
+    first = F.min_by(F.struct("uid", "bands", "sketch"), F.struct("doc_id", "uid")).alias("first")
+    classes = settled(named.groupBy("sequence").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), first)
+                      .select("sequence", "node", "size", "first.*"))
+    live = shared_buckets(classes.select(F.explode("bands").alias("k"), "node"))
     who = settled(live.select("node").distinct())
-    rows = classes.join(broadcast_if_small(who, 24), "node", "left_semi").select("uid", "node")
-    rows = settled(rows)
+    known = settled(classes.join(broadcast_if_small(who, 24), "node", "left_semi")
+                    .select("uid", "node", "size", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]))
     texts = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "text")
-    texts = settled(texts.join(broadcast_if_small(rows, 40), "uid").select("node", "text"))
-    labels = link(live, lambda pairs: confirmed(pairs, texts),
-                  lambda x, y: 100 * F.least(f"{x}.size", f"{y}.size") >= THRESHOLD * F.greatest(f"{x}.size", f"{y}.size"))
+    texts = settled(texts.join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
+
+    def may(x: str, y: str) -> Column:
+        sizes = 100 * F.least(f"{x}.size", f"{y}.size") >= THRESHOLD * F.greatest(f"{x}.size", f"{y}.size")
+        differ = [F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}")) for i in range(SKETCH)]
+        count = sum(F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))) for d in differ)
+        return sizes & (count <= 2 * PERMUTATIONS - AGREE)
+
+    labels = link(live, known.drop("uid"), lambda pairs: confirmed(pairs, texts), may)
     final = classes.select("sequence", "node")
     if labels is not None:
         final = final.join(labels, "node", "left").select("sequence", F.coalesce("component", "node").alias("node"))
