@@ -2,8 +2,8 @@
 
 ``link`` gets entries (bucket key, node) and a check of pairs. Rounds: each bucket elects a hub; every node is checked
 against HUBS hubs of other groups, the least of its buckets' hubs by a hash that changes with the round, and groups
-are joined. When few pairs of different groups are left in the buckets, or a round no longer halves them, all of
-these are checked. So no pair of one bucket goes untested unless both rows are in one group already: the groups are those
+are joined. When few pairs of different groups are left in the buckets, or a round finds no link, all of these
+are checked. So no pair of one bucket goes untested unless both rows are in one group already: the groups are those
 that all pairs would give, while a bucket of n near copies costs about HUBS * n checks a round.
 """
 
@@ -45,16 +45,18 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     return settled(entries.join(many, "k", "left_semi"))
 
 
-def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column]) -> DataFrame | None:
+def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column],
+         sketches: DataFrame | None = None, alike: Callable[[str, str], Column] | None = None) -> DataFrame | None:
     """Groups of the nodes in ``live`` (k, node), a settled frame of shared buckets.
 
     ``check`` returns the rows of pairs (a, b) that are linked. ``may(x, y)`` is a cheap condition that linked pairs
-    meet, on the columns of ``details`` (node, ...) of two aliased rows. Returns (node, component) or None if nothing
-    is linked.
+    meet, on the columns of ``details`` (node, ...) of two aliased rows; ``alike`` is a further one on the wide rows
+    of ``sketches``, used on the buckets left in the end. Returns (node, component) or None if nothing is linked.
     """
     extras = [c for c in details.columns if c != "node"]
     nodes = live.select("node").distinct().count()
-    tested = labels = last = None
+    tested = labels = None
+    idle = False
     for turn in range(MAX_ROUNDS + 1):
         if labels is None:
             now = live.withColumn("comp", F.col("node"))
@@ -67,13 +69,16 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         if not left:
             break
         now = settled(now.join(open_.select("k"), "k", "left_semi").join(details, "node").select("k", "node", "comp", *extras))
-        final = left <= PAIRS_PER_NODE * nodes or turn == MAX_ROUNDS or (last is not None and left > 0.5 * last)
-        last = left
+        final = left <= PAIRS_PER_NODE * nodes or turn == MAX_ROUNDS or idle
         x = now.alias("x")
         if final:
-            y = now.alias("y")
+            fits = may
+            if sketches is not None:
+                x = now.join(sketches, "node").alias("x")
+                fits = lambda a, b: may(a, b) & alike(a, b)
+            y = (now if sketches is None else now.join(sketches, "node")).alias("y")
             pairs = x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.node") < F.col("y.node"))
-                           & (F.col("x.comp") != F.col("y.comp")) & may("x", "y")).select("x.node", F.col("y.node").alias("hub"))
+                           & (F.col("x.comp") != F.col("y.comp")) & fits("x", "y")).select("x.node", F.col("y.node").alias("hub"))
         else:
             hub = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp", *extras)).alias("hub")
             y = now.groupBy("k").agg(hub).select("k", "hub.*").alias("y")
@@ -84,10 +89,12 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settled(pairs)
-        if not pairs.isEmpty():
+        idle = pairs.isEmpty()
+        if not idle:
             found = settled(check(pairs).select("a", "b"))
             tested = pairs if tested is None else settled(tested.union(pairs))
-            if not found.isEmpty():
+            idle = found.isEmpty()
+            if not idle:
                 edges = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
                 labels = components(edges)
         if final:

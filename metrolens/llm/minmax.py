@@ -4,8 +4,8 @@ Method: a document's set of 5-word shingles is hashed under PERMUTATIONS functio
 signature values, its minimum and its maximum: half the hash evaluations for the same length, unbiased, and of
 lower variance since the two move against each other. ROWS values make a band; documents that agree in a band are
 candidates (at similarity 0.75 a link is missed with probability 0.00008). Pairs whose signatures agree in fewer
-values than a similarity of 0.75 gives, less six standard deviations, are left out unread (two bits a value are
-compared; a link is missed with probability 10^-9). Documents of the same word sequence are
+values than a similarity of 0.75 gives, less four standard deviations, are left out unread (four bits a value are
+compared; a link at 0.75 is missed with probability 0.00003). Documents of the same word sequence are
 first joined in one class. Candidates are confirmed on their full sets of shingles: 100 * intersection >=
 75 * union. Buckets are linked by hubs (see ``linking``), so groups of thousands of copies cost no pairs.
 
@@ -36,10 +36,10 @@ SHINGLE = 5
 BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
 THRESHOLD = 75  # per cent
-SKETCH = (2 * PERMUTATIONS + 31) // 32  # longs of two-bit values
-#: Least agreeing two-bit values: J + (1 - J) / 4 agree on average.
-_SHARE = THRESHOLD / 100 + (1 - THRESHOLD / 100) / 4
-AGREE = int(2 * PERMUTATIONS * _SHARE - 6 * (2 * PERMUTATIONS * _SHARE * (1 - _SHARE)) ** 0.5)
+SKETCH = (2 * PERMUTATIONS + 15) // 16  # longs of four-bit values
+#: Least agreeing four-bit values: J + (1 - J) / 16 agree on average.
+_SHARE = THRESHOLD / 100 + (1 - THRESHOLD / 100) / 16
+AGREE = int(2 * PERMUTATIONS * _SHARE - 4 * (2 * PERMUTATIONS * _SHARE * (1 - _SHARE)) ** 0.5)
 SEED = 20_240_917
 
 
@@ -126,10 +126,10 @@ class MinMax:
 
     @staticmethod
     def sketch(signature: np.ndarray) -> np.ndarray:
-        """Two bits of each value, 32 values to a long."""
-        two = np.zeros(-(-signature.size // 32) * 32, np.uint64)
-        two[:signature.size] = (signature.reshape(-1) >> np.uint64(20)) & np.uint64(3)
-        return np.bitwise_or.reduce(two.reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2)), axis=1).view(np.int64)
+        """Four bits of each value, 16 values to a long."""
+        four = np.zeros(-(-signature.size // 16) * 16, np.uint64)
+        four[:signature.size] = (signature.reshape(-1) >> np.uint64(20)) & np.uint64(15)
+        return np.bitwise_or.reduce(four.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1).view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -194,12 +194,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = settled(texts.join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
 
     def may(x: str, y: str) -> Column:
-        sizes = 100 * F.least(f"{x}.size", f"{y}.size") >= THRESHOLD * F.greatest(f"{x}.size", f"{y}.size")
-        differ = [F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}")) for i in range(SKETCH)]
-        count = sum(F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))) for d in differ)
-        return sizes & (count <= 2 * PERMUTATIONS - AGREE)
-
-    labels = link(live, known.drop("uid"), lambda pairs: confirmed(pairs, texts), may)
+        return 100 * F.least(f"{x}.size", f"{y}.size") >= THRESHOLD * F.greatest(f"{x}.size", f"{y}.size")
+
+    def alike(x: str, y: str) -> Column:
+        differ = 0
+        for i in range(SKETCH):
+            d = F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))
+            d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+            differ += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+        return differ <= 2 * PERMUTATIONS - AGREE
+
+    labels = link(live, known.select("node", "size"), lambda pairs: confirmed(pairs, texts), may,
+                  known.drop("uid", "size"), alike)
     final = classes.select("sequence", "node")
     if labels is not None:
         final = final.join(labels, "node", "left").select("sequence", F.coalesce("component", "node").alias("node"))
