@@ -66,7 +66,7 @@ def grid_cells(pixels: DataFrame, x_col: str = "x_pixel", y_col: str = "y_pixel"
     truncation toward zero; cells outside [0, resolution + 2w) are dropped.
     """
     res = resolution or size
-    w = window if window is not None else default_window(res)
+    w = window or default_window(res)  # 0 means the default too
     k = (res - 1) / size
     imgw = res + 2 * w
     z = F.col(value_col).cast("double") if value_col else F.lit(1.0)
@@ -131,7 +131,7 @@ def smoothed_density(pixels: DataFrame, x_col: str = "x_pixel", y_col: str = "y_
     cells are absent.
     """
     res = resolution or size
-    w = window if window is not None else default_window(res)
+    w = window or default_window(res)  # 0 means the default too
     imgw = res + 2 * w
     cells = grid_cells(pixels, x_col, y_col, value_col, size, res, w)
     z = gaussian_smooth(cells, imgw, float(w))

@@ -51,12 +51,20 @@ DEFAULT_BIN_WIDTH = 16
 DEFAULT_MAX_BINS = 1024
 
 
+def whole_number(col: str) -> Column:
+    """INT from a number or numeric text, decimals truncated (``100.0`` -> 100); other text (``7D``) is NULL.
+
+    The cast goes through DECIMAL, since text to DOUBLE would read ``7D`` as 7.
+    """
+    return F.col(col).cast("string").try_cast("decimal(20,6)").try_cast("int")
+
+
 def typed_segments(segments: DataFrame, ranges: Sequence[tuple[str, str]] = DEFAULT_RANGES) -> DataFrame:
-    """P5: range bounds as INT; text that is not an integer becomes NULL."""
+    """P5: range bounds as INT; text that is not a number becomes NULL."""
     casts = {}
     for lo, hi in ranges:
-        casts[lo] = F.col(lo).try_cast("int")
-        casts[hi] = F.col(hi).try_cast("int")
+        casts[lo] = whole_number(lo)
+        casts[hi] = whole_number(hi)
     return segments.withColumns(casts)
 
 
@@ -71,7 +79,7 @@ def ticket_cells(tickets: DataFrame, street_col: str = "StreetName", number_col:
     """
     cells = tickets.select(
         F.col(street_col).cast("string").alias("_street"),
-        F.col(number_col).try_cast("int").alias("_hn"),
+        whole_number(number_col).alias("_hn"),
         *[F.col(c) for c in by],
     ).where(F.col("_street").isNotNull() & F.col("_hn").isNotNull())
     if by:

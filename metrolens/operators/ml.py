@@ -66,9 +66,22 @@ def quantile_buckets(df: DataFrame, input_cols: list[str], num_buckets: int = K.
     return qd.fit(df).transform(df)
 
 
+def _usable(col: str):
+    value = F.col(col).cast("double")
+    return value.isNotNull() & ~F.isnan(value)
+
+
+def unusable_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One-row frame with the number of rows that a fit on ``cols`` leaves out (NULL or NaN)."""
+    bad = None
+    for c in cols:
+        bad = ~_usable(c) if bad is None else bad | ~_usable(c)
+    return df.agg(F.count(F.when(bad, F.lit(1))).alias("dropped"))
+
+
 def labeled(df: DataFrame, label_col: str, feature_cols: list[str]) -> DataFrame:
-    """M5: (label, features) rows, no RDD."""
-    vec = assemble(df, feature_cols, "features")
+    """M5: (label, features) rows, no RDD; rows without a usable label or feature can't be fitted (see ``unusable_rows``)."""
+    vec = assemble(df, feature_cols, "features").where(_usable(label_col))
     return vec.select(F.col(label_col).cast("double").alias("label"), "features")
 
 
@@ -96,15 +109,14 @@ def regression_metrics(pred: DataFrame, label_col: str = "label", prediction_col
     """One-row frame with RMSE and explained variance, from one distributed aggregate.
 
     explained variance = mean((prediction - mean(label))^2), as in Spark's
-    regression metrics.
+    regression metrics; taken as var(prediction) + (mean(prediction) -
+    mean(label))^2, since sums of squares cancel for large values.
     """
     p, y = F.col(prediction_col), F.col(label_col)
-    s = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(p).alias("sp"), F.sum(p * p).alias("spp"),
-                 F.sum(y).alias("sy"), F.sum((p - y) * (p - y)).alias("se"))
-    m = F.col("sy") / F.col("n")
-    ev = (F.col("spp") - 2 * m * F.col("sp") + F.col("n") * m * m) / F.col("n")
-    return s.select(F.sqrt(F.col("se") / F.col("n")).alias(f"{prefix}rmse"),
-                    ev.alias(f"{prefix}explained_variance"), F.col("n").alias(f"{prefix}n"))
+    bias = F.avg(p) - F.avg(y)
+    return pred.agg(F.sqrt(F.avg((p - y) * (p - y))).alias(f"{prefix}rmse"),
+                    (F.var_pop(p) + bias * bias).alias(f"{prefix}explained_variance"),
+                    F.count(F.lit(1)).alias(f"{prefix}n"))
 
 
 @dataclass

@@ -105,8 +105,3 @@ def split_by(df: DataFrame, label_col: str, label: str) -> DataFrame:
 
 def label_counts(df: DataFrame, label_col: str, count_col: str = "rows") -> DataFrame:
     return ordered_small(df.groupBy(label_col).agg(F.count(F.lit(1)).alias(count_col)), label_col)
-
-
-def ordered_head(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:
-    """L2/L3: the first ``n`` rows in a stated order (top-k: Spark keeps n rows per task)."""
-    return df.orderBy(*order_cols).limit(n)

@@ -287,10 +287,6 @@ from p, dr where lat is not null and lon is not null and not isnan(lat) and not
 })
 
 ORACLES.update({
-    "capped_rows": """
-select l_orderkey, l_linenumber, round(l_extendedprice / 1500.0::double, 6) as fare_amount, l_quantity as trip_distance
-from lineitem order by l_orderkey, l_linenumber, fare_amount, trip_distance limit 1000""",
-
     "csv_roundtrip": """
 select cast(year(l_shipdate) as int) as year, cast(month(l_shipdate) as int) as month,
        round(avg(l_quantity), 6) as avg_distance, count(*) as trips, count(*) as trips_from_header_file

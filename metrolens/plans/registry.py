@@ -342,14 +342,6 @@ def q_marker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- sinks and row caps
 
 
-@register("capped_rows")
-def q_capped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L2-L3: the notebook's ordered row cap (the limit is the operator); every order column is returned."""
-    t = syn.taxi_trips_from_lineitem(spark, sf_dir).select(
-        "l_orderkey", "l_linenumber", F.round("fare_amount", 6).alias("fare_amount"), "trip_distance")
-    return temporal.ordered_head(t, ["l_orderkey", "l_linenumber", "fare_amount", "trip_distance"], 1000)
-
-
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K2 + S1/S9: monthly trips written as CSV without and with a header, read back by position and name."""

@@ -50,7 +50,7 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     if not header:
         return reader.schema(st).csv(path)
-    raw = reader.csv(path)
+    raw = reader.option("enforceSchema", False).csv(path)  # a file whose header differs is an error, not shifted columns
     missing = [f.name for f in st.fields if f.name not in raw.columns]
     if missing:
         raise ValueError(f"CSV at {path} lacks columns {missing}")
