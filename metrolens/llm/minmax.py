@@ -5,8 +5,9 @@ signature values, its minimum and its maximum: half the hash evaluations for the
 lower variance since the two move against each other. ROWS values make a band; documents that agree in a band are
 candidates (at similarity 0.75 a link is missed with probability 0.00008). Pairs whose signatures agree in fewer
 values than a similarity of 0.75 gives, less four standard deviations, are left out unread (four bits a value are
-compared; a link at 0.75 is missed with probability 0.00003). Documents of the same word sequence are
-first joined in one class. Candidates are confirmed on their full sets of shingles: 100 * intersection >=
+compared; a link at 0.75 is missed with probability 0.00003). So are pairs that a bitmap of hashed shingles rules out:
+a bit that only one of them has stands for a shingle that the other lacks, which bounds the intersection from above
+without error. Documents of the same word sequence are first joined in one class. Candidates are confirmed on their full sets of shingles: 100 * intersection >=
 75 * union. Buckets are linked by hubs (see ``linking``), so groups of thousands of copies cost no pairs.
 
 Words: A-Z lower-cased, runs outside ``[\\x20\\x09-\\x0D]``. With fewer than five words the whole sequence is the only
@@ -40,6 +41,7 @@ SKETCH = (2 * PERMUTATIONS + 15) // 16  # longs of four-bit values
 #: Least agreeing four-bit values: J + (1 - J) / 16 agree on average.
 _SHARE = THRESHOLD / 100 + (1 - THRESHOLD / 100) / 16
 AGREE = int(2 * PERMUTATIONS * _SHARE - 4 * (2 * PERMUTATIONS * _SHARE * (1 - _SHARE)) ** 0.5)
+BITMAP = 16  # longs of a document's bitmap of shingles
 SEED = 20_240_917
 
 
@@ -131,17 +133,24 @@ class MinMax:
         four[:signature.size] = (signature.reshape(-1) >> np.uint64(20)) & np.uint64(15)
         return np.bitwise_or.reduce(four.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1).view(np.int64)
 
+    @staticmethod
+    def bitmap(s: np.ndarray) -> np.ndarray:
+        """One bit for each shingle hash, in BITMAP longs."""
+        bits = np.zeros(64 * BITMAP, np.uint8)
+        bits[(s % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+        return np.packbits(bits).view(np.int64)
+
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, n_shingles long, sequence binary (digest of the words), bands and sketch array<long>; the last
-    three are null without words."""
+    """uid, doc_id, n_shingles long, sequence binary (digest of the words), bands, sketch and bitmap array<long>; the
+    last four are null without words."""
     fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sequence", pa.binary()),
-              ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+              ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("bitmap", pa.list_(pa.int64()))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = MinMax()
         for batch in batches:
-            sizes, digests, bands, sketches = [], [], [], []
+            sizes, digests, bands, sketches, bitmaps = [], [], [], [], []
             for text in batch.column(2):
                 words = word_list(text.as_py())
                 s = kernel.shingles(words)
@@ -150,11 +159,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 signature = kernel.signature(s) if words else None
                 bands.append(kernel.band_keys(signature) if words else None)
                 sketches.append(kernel.sketch(signature) if words else None)
-            columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, (_, t) in zip((sizes, digests, bands, sketches), fields[2:]))]
+                bitmaps.append(kernel.bitmap(s) if words else None)
+            columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, (_, t) in zip((sizes, digests, bands, sketches, bitmaps), fields[2:]))]
             yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
     rows = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    return rows.mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>, sketch array<long>")
+    return rows.mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>, sketch array<long>, bitmap array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -183,13 +193,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: uid, doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     signed = settled(signatures(docs))
     named = signed.filter("sequence is not null and doc_id is not null")
-    first = F.min_by(F.struct("uid", "bands", "sketch"), F.struct("doc_id", "uid")).alias("first")
+    first = F.min_by(F.struct("uid", "bands", "sketch", "bitmap"), F.struct("doc_id", "uid")).alias("first")
     classes = settled(named.groupBy("sequence").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), first)
                       .select("sequence", "node", "size", "first.*"))
     live = shared_buckets(classes.select(F.explode("bands").alias("k"), "node"))
     who = settled(live.select("node").distinct())
     known = settled(classes.join(broadcast_if_small(who, 24), "node", "left_semi")
-                    .select("uid", "node", "size", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]))
+                    .select("uid", "node", "size", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)],
+                            *[F.col("bitmap")[i].alias(f"m{i}") for i in range(BITMAP)],
+                            sum(F.bit_count(F.col("bitmap")[i]) for i in range(BITMAP)).alias("bits")))
     texts = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "text")
     texts = settled(texts.join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
 
@@ -202,7 +214,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
             d = F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))
             d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
             differ += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111)))
-        return differ <= 2 * PERMUTATIONS - AGREE
+        common = sum(F.bit_count(F.col(f"{x}.m{i}").bitwiseAND(F.col(f"{y}.m{i}"))) for i in range(BITMAP))
+        most = common + F.least(F.col(f"{x}.size") - F.col(f"{x}.bits"), F.col(f"{y}.size") - F.col(f"{y}.bits"))
+        may_link = 100 * most >= THRESHOLD * (F.col(f"{x}.size") + F.col(f"{y}.size") - most)
+        return may_link & (differ <= 2 * PERMUTATIONS - AGREE)
 
     labels = link(live, known.select("node", "size"), lambda pairs: confirmed(pairs, texts), may,
                   known.drop("uid", "size"), alike)

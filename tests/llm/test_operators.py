@@ -349,3 +349,19 @@ def test_url_rules_and_reputation(spark):
 
 def test_unescape_matches_library():
     assert main_text.page_blocks("<article><p>&eacute;&#65;&nbsp;x</article>")[0][1] == html.unescape("&eacute;&#65;&nbsp;x").split()
+
+
+def test_bitmap_bounds_the_intersection():
+    kernel, rng = minmax.MinMax(), random.Random(8)
+    base = syllables(rng, 150).split()
+    bits = lambda m: sum(int(x).bit_count() for x in m.view(np.uint64))
+    far = 0
+    for share in [0.0, 0.01, 0.02, 0.05, 0.1] * 8:
+        other = [f"{w}x" if rng.random() < share else w for w in base[:rng.randint(100, 150)]]
+        x, y = (kernel.shingles([w.encode() for w in words]) for words in (base, other))
+        mx, my = kernel.bitmap(x), kernel.bitmap(y)
+        most = bits(mx & my) + min(len(x) - bits(mx), len(y) - bits(my))
+        both = len(np.intersect1d(x, y))
+        assert both <= most <= min(len(x), len(y))
+        far += both < 0.5 * len(x) and 100 * most < 75 * (len(x) + len(y) - most)
+    assert far > 0
