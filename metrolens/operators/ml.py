@@ -139,15 +139,17 @@ def fare_regression_clusters(trips: DataFrame, seed: int = 7, sample_fraction: f
                              pickup_k: int = K.PICKUP_CLUSTERS, dropoff_k: int = K.DROPOFF_CLUSTERS) -> FitResult:
     """M9: F9 -> L4 -> M2 (pickup k=20, dropoff k=5, decision D12) -> M1 -> L5 -> M6 -> A16."""
     df = maybe_sample(cleaning.drop_zero_coordinates(trips), sample_fraction, seed)
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by both k-means fits
-    _, df = kmeans_clusters(base, ["pickup_latitude", "pickup_longitude"], k=pickup_k,
-                            prediction_col="predction_pickup", features_col="features1")
-    _, df = kmeans_clusters(df, ["dropoff_latitude", "dropoff_longitude"], k=dropoff_k,
-                            prediction_col="prediction_dropoff", features_col="features2")
-    data = labeled(df, "fare_amount", ["predction_pickup", "prediction_dropoff"])
-    result = _train_and_score(data, fit_intercept=False, seed=seed)  # checkpoints the labeled rows
-    base.unpersist()
-    return result
+    used = df.select("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude", "fare_amount")
+    base = used.persist(StorageLevel.MEMORY_AND_DISK)  # read by both k-means fits
+    try:
+        _, df = kmeans_clusters(base, ["pickup_latitude", "pickup_longitude"], k=pickup_k,
+                                prediction_col="predction_pickup", features_col="features1")
+        _, df = kmeans_clusters(df, ["dropoff_latitude", "dropoff_longitude"], k=dropoff_k,
+                                prediction_col="prediction_dropoff", features_col="features2")
+        data = labeled(df, "fare_amount", ["predction_pickup", "prediction_dropoff"])
+        return _train_and_score(data, fit_intercept=False, seed=seed)  # checkpoints the labeled rows
+    finally:
+        base.unpersist()
 
 
 def fare_regression_buckets(trips: DataFrame, seed: int = 7, sample_fraction: float | None = None,
