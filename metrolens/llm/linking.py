@@ -20,25 +20,48 @@ from metrolens.llm.common import settled
 PAIRS_PER_NODE = 4
 MAX_ROUNDS = 5
 HUBS = 3
+#: Small frames of a round are written in partitions of about this size, and broadcast below the second.
+PARTITION_BYTES, BROADCAST_BYTES = 16 << 20, 32 << 20
+
+
+def few_files(df: DataFrame, rows: int, row_bytes: int = 40) -> DataFrame:
+    """``df``, known to have at most ``rows`` rows, in as many partitions as its bytes fill: steps over small frames
+    then write few files, steps over large ones stay spread."""
+    return df.coalesce(max(1, -(-rows * row_bytes // PARTITION_BYTES)))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes in ``edges`` (a, b): component is the smallest node reachable."""
-    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                     .select("node", F.least("node", "m").alias("component")))
+    """(node, component) of all nodes in ``edges`` (a, b), a settled frame: component is the smallest node reachable."""
+    n = 2 * edges.count()
+    hint = F.broadcast if n * 24 <= BROADCAST_BYTES else lambda df: df
+    both = settled(few_files(edges.select("a", "b").union(edges.select("b", "a")), n))
+    labels = settled(few_files(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+                               .select("node", F.least("node", "m").alias("component")), n))
     while True:
-        heard = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
+        heard = (both.join(hint(labels.select(F.col("node").alias("b"), "component")), "b")
                  .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard")))
-        lower = labels.join(heard, "node").select("node", "component", F.least("component", "heard").alias("lower"))
+        lower = labels.join(hint(heard), "node").select("node", "component", F.least("component", "heard").alias("lower"))
         jump = labels.select(F.col("node").alias("lower"), F.col("component").alias("beyond"))
-        step = settled(lower.join(jump, "lower").select("node", F.least("lower", "beyond").alias("component"),
-                                                        (F.least("lower", "beyond") != F.col("component")).alias("moved")))
+        step = settled(few_files(lower.join(hint(jump), "lower").select(
+            "node", F.least("lower", "beyond").alias("component"), (F.least("lower", "beyond") != F.col("component")).alias("moved")), n))
         labels = step.select("node", "component")
         if step.filter("moved").isEmpty():
             return labels
 
 
+def merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after the links ``found`` (a, b) between them and with new nodes: only the groups
+    that a link touches are joined anew."""
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))
+    ends = found.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+        F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")).filter("a != b")
+    groups = components(settled(few_files(ends.distinct(), found.count())))
+    every = labels.union(groups.select("node", F.col("node").alias("component"))).distinct()
+    beyond = groups.select(F.col("node").alias("component"), F.col("component").alias("beyond"))
+    return settled(few_files(every.join(beyond, "component", "left").select("node", F.coalesce("beyond", "component").alias("component")),
+                             labels.count() + 2 * found.count()))
+
+
 def shared_buckets(entries: DataFrame) -> DataFrame:
     """The entries whose bucket holds at least two."""
     many = entries.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
@@ -54,7 +77,7 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
     of ``sketches``, used on the buckets left in the end. Returns (node, component) or None if nothing is linked.
     """
     extras = [c for c in details.columns if c != "node"]
-    nodes = live.select("node").distinct().count()
+    nodes, rows = live.agg(F.count_distinct("node"), F.count(F.lit(1))).first()
     tested = labels = None
     idle = False
     for turn in range(MAX_ROUNDS + 1):
@@ -64,7 +87,7 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
             now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         per = now.groupBy("k", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("k").agg(
             ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
-        open_ = settled(per.filter("pairs > 0"))
+        open_ = settled(few_files(per.filter("pairs > 0"), rows))
         left = open_.agg(F.sum("pairs").alias("p")).first()["p"] or 0
         if not left:
             break
@@ -91,12 +114,11 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         pairs = settled(pairs)
         idle = pairs.isEmpty()
         if not idle:
-            found = settled(check(pairs).select("a", "b"))
-            tested = pairs if tested is None else settled(tested.union(pairs))
+            found = settled(few_files(check(pairs).select("a", "b").distinct(), pairs.count()))
+            tested = pairs if tested is None else tested.union(pairs)
             idle = found.isEmpty()
             if not idle:
-                edges = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-                labels = components(edges)
+                labels = components(found) if labels is None else merged(labels, found)
         if final:
             break
     return labels
