@@ -272,6 +272,33 @@ def test_fuzzy_lines_joins_variants(spark):
     assert rows[2].n_kept == (1 if near else 2) and rows[1].n_kept == 1 and rows[3].n_kept == 1
 
 
+def test_fuzzy_lines_finds_all_similar_pairs(spark):
+    """Pairs at edit similarity 0.8 to 0.95 by number of words, against the distance itself."""
+    rng = random.Random(12)
+    texts, pairs, word = [], [], lambda: syllables(rng, 1) + str(rng.randrange(10**4))
+    for n in (4, 5, 6, 7, 9, 10, 14, 15, 20, 24, 25, 27, 40, 60, 100):
+        for turn in range(12):
+            base = [word() for _ in range(n)]
+            other = list(base)
+            most = (n + (n < 5)) // 5
+            for i in range(rng.choice([1, most]) if turn else most):
+                kind = 2 if n < 5 else rng.randrange(2)
+                at = i * n // most if turn % 2 else rng.randrange(len(other))  # evenly spread or anywhere
+                if kind == 0 and at < len(other):
+                    other[at] = word()
+                elif kind == 1 and len(other) > 0.8 * n + 1:
+                    del other[min(at, len(other) - 1)]
+                elif kind == 2:
+                    other.insert(at, word())
+            pairs.append((n, len(texts)))
+            texts += [" ".join(base), " ".join(other)]
+    path = scratch_path(spark, "llm-line-pairs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(path)
+    kept = {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(spark.read.parquet(path)).collect()}
+    lost = collections.Counter(n for n, i in pairs if kept[i + 1] and texts[i] != texts[i + 1])
+    assert all(kept[i] for _, i in pairs) and not lost, lost
+
+
 def test_toxicity(spark, docs, none):
     rng = random.Random(6)
     rows, labels = [], []
