@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import settled, text_rows
+from metrolens.llm.common import numbered, settled, text_columns, text_rows
 
 SPACE = r"[\x20\x09-\x0D]"
 SHORTEST, LONGEST = 512, 8192
@@ -54,10 +54,9 @@ def colliding_chunks(norm: DataFrame, hashed=F.xxhash64) -> DataFrame:
         F.posexplode("c").alias("ordinal", "chunk")).select("chunk", F.col("ordinal").cast("long"))
 
 
-def recipes(docs: DataFrame, hashed=F.xxhash64) -> DataFrame:
-    """Per row: uid, doc_id, n_chars, text_sha256, recipe (ordered identifiers of its chunks)."""
-    norm = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "doc_id",
-                                  F.length("text").cast("long").alias("n_chars"), normalised(F.col("text")).alias("norm"))
+def recipes(rows: DataFrame, hashed=F.xxhash64) -> DataFrame:
+    """Per row (uid, doc_id, text): uid, doc_id, n_chars, text_sha256, recipe (ordered identifiers of its chunks)."""
+    norm = rows.select("uid", "doc_id", F.length("text").cast("long").alias("n_chars"), normalised(F.col("text")).alias("norm"))
     collisions = settled(colliding_chunks(norm, hashed))
     if collisions.isEmpty():
         recipe = F.transform(chunks(F.col("norm")), lambda c: hashed(c))
@@ -71,7 +70,12 @@ def recipes(docs: DataFrame, hashed=F.xxhash64) -> DataFrame:
 
 def exact_groups(docs: DataFrame, hashed=F.xxhash64) -> DataFrame:
     """One row per row of ``docs``: uid, doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
-    rows = settled(recipes(docs, hashed))
+    return groups_of_rows(text_rows(docs).withColumn("uid", F.monotonically_increasing_id()), hashed)
+
+
+def groups_of_rows(rows: DataFrame, hashed=F.xxhash64) -> DataFrame:
+    """``exact_groups`` of rows with a uid, doc_id and text. The uid is read in one scan only."""
+    rows = settled(recipes(rows, hashed))
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid"))
     groups = settled(rows.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
                      .select("recipe", F.col("best.doc_id").alias("keep_id"), F.col("best.uid").alias("keep_uid"), "group_size"))
@@ -82,5 +86,7 @@ def exact_groups(docs: DataFrame, hashed=F.xxhash64) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns as they were."""
-    stays = exact_groups(docs).filter("kept").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(stays, "__uid", "left_semi").drop("__uid")
+    rows = numbered(docs, "__uid")
+    groups = groups_of_rows(rows.select(F.col("__uid").alias("uid"), *text_columns()))
+    stays = groups.filter("kept").select(F.col("uid").alias("__uid"))
+    return rows.join(stays, "__uid", "left_semi").drop("__uid")

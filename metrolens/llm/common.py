@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolens.session import checkpoint_root
+from metrolens.session import checkpoint_root, scratch_path
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -32,9 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_columns(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """doc_id long, text string, null text as empty."""
+    return [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
+
+
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string), null text as empty; all other columns are left behind, so no name can clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return docs.select(*text_columns(id_col, text_col))
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -43,6 +48,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(df: DataFrame, name: str = "uid") -> DataFrame:
+    """``df`` with a row id ``name``, written once to the shared checkpoint folder and read from there. An id made anew in
+    a second scan names other rows if the files are split anew, as they are when the number of cores changes."""
+    path = scratch_path(df.sparkSession, "numbered")
+    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """``df`` marked for broadcast if its counted rows times ``row_bytes`` stay below ``limit``; else left to a
     shuffled join. Call it on settled frames: the count is a job."""

@@ -14,8 +14,8 @@ Words: A-Z lower-cased, runs outside ``[\\x20\\x09-\\x0D]``. With fewer than fiv
 shingle. Without words (or with a null text) the set is empty and linked with nothing.
 
 A row with a null doc_id has no name in a group: it is linked with nothing and kept. Rows that repeat a doc_id are
-one document in the links. An empty table gives an empty result. Other columns are ignored. ``docs`` should come
-from files: it is scanned more than once.
+one document in the links. An empty table gives an empty result. Other columns are ignored. Rows get their id
+in a copy of ``docs`` that is written once and read by all later scans.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import broadcast_if_small, settled, ship, text_rows
+from metrolens.llm.common import broadcast_if_small, numbered, settled, ship, text_columns, text_rows
 from metrolens.llm.linking import link, shared_buckets
 
 ship(__name__)
@@ -141,8 +141,8 @@ class MinMax:
         return np.packbits(bits).view(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, n_shingles long, sequence binary (digest of the words), bands, sketch and bitmap array<long>; the
+def signatures(rows: DataFrame) -> DataFrame:
+    """Of rows with a uid, doc_id and text: uid, doc_id, n_shingles long, sequence binary (digest of the words), bands, sketch and bitmap array<long>; the
     last four are null without words."""
     fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sequence", pa.binary()),
               ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("bitmap", pa.list_(pa.int64()))]
@@ -163,8 +163,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, (_, t) in zip((sizes, digests, bands, sketches, bitmaps), fields[2:]))]
             yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
-    rows = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    return rows.mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>, sketch array<long>, bitmap array<long>")
+    return rows.select("uid", "doc_id", "text").mapInArrow(sign, "uid long, doc_id long, n_shingles long, sequence binary, bands array<long>, sketch array<long>, bitmap array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -191,7 +190,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: uid, doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    signed = settled(signatures(docs))
+    return groups_of_rows(numbered(text_rows(docs)))
+
+
+def groups_of_rows(rows: DataFrame) -> DataFrame:
+    """``near_groups`` of rows with a written uid, doc_id and text."""
+    signed = settled(signatures(rows))
     named = signed.filter("sequence is not null and doc_id is not null")
     first = F.min_by(F.struct("uid", "bands", "sketch", "bitmap"), F.struct("doc_id", "uid")).alias("first")
     classes = settled(named.groupBy("sequence").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), first)
@@ -202,8 +206,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
                     .select("uid", "node", "size", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)],
                             *[F.col("bitmap")[i].alias(f"m{i}") for i in range(BITMAP)],
                             sum(F.bit_count(F.col("bitmap")[i]) for i in range(BITMAP)).alias("bits")))
-    texts = text_rows(docs).select(F.monotonically_increasing_id().alias("uid"), "text")
-    texts = settled(texts.join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
+    texts = settled(rows.select("uid", "text").join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
 
     def may(x: str, y: str) -> Column:
         return 100 * F.least(f"{x}.size", f"{y}.size") >= THRESHOLD * F.greatest(f"{x}.size", f"{y}.size")
@@ -234,5 +237,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group; all columns as they were."""
-    stays = near_groups(docs).filter("kept").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(stays, "__uid", "left_semi").drop("__uid")
+    rows = numbered(docs, "__uid")
+    groups = groups_of_rows(rows.select(F.col("__uid").alias("uid"), *text_columns()))
+    stays = groups.filter("kept").select(F.col("uid").alias("__uid"))
+    return rows.join(stays, "__uid", "left_semi").drop("__uid")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import broadcast_if_small, settled
+from metrolens.llm.common import broadcast_if_small, numbered, settled
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, MAX_EPOCHS = (5, 2, 1), 3
@@ -67,7 +67,8 @@ def mixed_copies(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS)
     """(rows, copies). rows: uid, doc_id, size, source_size, target. copies, one per document and epoch taken:
     uid, epoch, taken (words; less than the size where the copy is cut), finish (virtual), mix_start (words of the
     mixed stream before it)."""
-    sized = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
+    uid = F.col("__uid") if "__uid" in docs.columns else F.monotonically_increasing_id()  # read in one scan only
+    sized = docs.select(uid.alias("uid"), F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"))
     sized = settled(sized.withColumn("shuffle", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     targets = settled(source_targets(sized, weights, max_epochs))
@@ -100,12 +101,13 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS)
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix itself: each taken copy as a row with the columns of ``docs``, a cut copy with its leading words."""
-    _, stream = mixed_copies(docs, weights, max_epochs)
+    rows = numbered(docs, "__uid")
+    _, stream = mixed_copies(rows, weights, max_epochs)
     copies = stream.select(F.col("uid").alias("__uid"), F.col("taken").alias("__taken"))
     lead = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"(?s)[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)),
                                 F.lit(1), F.col("__taken").cast("int")), "")
     cut = F.col("__taken") < words(F.col("text"))
-    joined = docs.withColumn("__uid", F.monotonically_increasing_id()).join(copies, "__uid")
+    joined = rows.join(copies, "__uid")
     text = F.when(cut, lead).otherwise(F.col("text"))
     joined = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -392,3 +392,20 @@ def test_bitmap_bounds_the_intersection():
         assert both <= most <= min(len(x), len(y))
         far += both < 0.5 * len(x) and 100 * most < 75 * (len(x) + len(y) - most)
     assert far > 0
+
+
+@pytest.mark.parametrize("job", ["near", "exact", "mix", "lines"])
+def test_row_ids_survive_a_new_split_plan(spark, docs, monkeypatch, job):
+    """Ids are made in one scan only: with the files split otherwise for each later scan, the results are the same."""
+    from pyspark.sql import functions as F
+    run = {"near": lambda: minmax.drop_near_duplicates(docs), "exact": lambda: chunk_dedup.drop_exact_duplicates(docs),
+           "mix": lambda: mixing.mixed_documents(docs).select("doc_id", "text"), "lines": lambda: fuzzy_lines.dedupe_lines(docs)}[job]
+    want = sorted(map(str, run().collect()))
+    real, calls = F.monotonically_increasing_id, []
+
+    def other_ids():
+        calls.append(1)
+        return real() if len(calls) % 2 else (F.lit(1 << 40) - real())  # every second scan numbers its rows otherwise
+
+    monkeypatch.setattr(F, "monotonically_increasing_id", other_ids)
+    assert sorted(map(str, run().collect())) == want
