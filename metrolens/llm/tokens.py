@@ -3,7 +3,9 @@
 A text is cut where the tokenizer's own pre-tokenisation always cuts, each distinct piece is encoded once by the
 library and its ids are kept; a text's ids are the joined ids of its pieces. Texts with characters for which the
 cut isn't certain (apostrophes, letters beyond Latin-1, odd white space) are encoded whole, so results always equal
-the library's. Strings of special tokens inside a text count as ordinary text.
+the library's. So are texts that hold the string of an added token (such as an end mark), in either case of letters:
+the library gives its id, as in a plain ``encode``. A ``TextEncoder`` made with ``special=False`` takes special tokens
+inside a text as ordinary text.
 """
 
 from __future__ import annotations
@@ -43,15 +45,18 @@ class _Memo(dict):
 class TextEncoder:
     """``ids(text)``: the text's token ids as a little-endian array (16 bits if the vocabulary fits, else 32)."""
 
-    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
+    def __init__(self, path: str, memo_pieces: int = MEMO_PIECES, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.memo = _Memo(self.tok.encode, self.dtype, memo_pieces)
-        kind = self._kind(json.loads(self.tok.to_str()))
+        spec = json.loads(self.tok.to_str())
+        added = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if special or not t["special"]]
+        self.marked = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
+        kind = self._kind(spec)
         self.lower = kind == "words"
         if kind == "words":  # lower-cases, drops white space
             self.find = re.compile(f"[{LETTERS}]+|[{OTHERS}]+").findall
@@ -76,7 +81,7 @@ class TextEncoder:
         return "whole"
 
     def ids(self, text: str) -> np.ndarray:
-        if self.odd(text):
+        if self.odd(text) or self.marked(text):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
         pieces = self.find(text.lower() if self.lower else text)
         return np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), self.dtype)
@@ -86,5 +91,5 @@ def encoder(path: str) -> TextEncoder:
     """This worker's encoder for the tokenizer file ``path``."""
     cache = process_cache("encoders")
     if path not in cache:
-        cache[path] = TextEncoder(path)
+        cache[path] = TextEncoder(path, special=True)
     return cache[path]

@@ -60,6 +60,18 @@ def test_encoder_equals_library(name):
         assert own.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_special_tokens_in_texts_get_their_ids(name):
+    plain, own = Tokenizer.from_file(vocabulary(name)), tokens.encoder(vocabulary(name))
+    marks = [t.content for t in plain.get_added_tokens_decoder().values()]
+    texts = [t.format(m) for m in marks for t in ("a {} b", "{}", "a{0}{0}b\n", "it's {}", " {} ", "x {} Ω")]
+    texts += [t.upper() for t in texts] + [t.replace("|", "| ") for t in texts] + ["a <|endoftext| > b"]
+    assert marks
+    for text in texts:
+        assert own.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert own.ids("a b " + marks[0])[-1] == plain.token_to_id(marks[0])
+
+
 def test_records_round_trip(spark, docs, none):
     folder = scratch_path(spark, "llm-records")
     manifest = records.write_records(docs, folder, vocabulary("word_bpe_49k.json"), end_id=2)
