@@ -354,6 +354,16 @@ def test_main_text(spark):
     assert main_text.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<main class='content has-sidebar'><p>real text</main>", ["real text"]),
+    ("<div class='page has-sidebar'><article class='post has-comments'><p>real text</article></div>", ["real text"]),
+    ("<article id='search-engines'><section id='related-work'>cited work</section><p class='share-price'>a price<h2 id='login'>Login</h2>"
+     "<div class='comments'>reader says</div><nav>menu</nav></article>", ["cited work", "a price", "Login"]),
+    ("<main><article class='related'>one</article><div class='social-share'>share it</div></main><div class='ad-box'>buy</div>", ["one"])])
+def test_class_words_do_not_drop_articles(page, want):
+    assert [" ".join(words) for zone, words in main_text.page_blocks(page) if zone == "article"] == want
+
+
 def test_suffix_array_coverage():
     rng = np.random.default_rng(1)
     tokens_ = rng.integers(0, 3, 400).astype(np.uint64)
