@@ -364,6 +364,20 @@ def test_class_words_do_not_drop_articles(page, want):
     assert [" ".join(words) for zone, words in main_text.page_blocks(page) if zone == "article"] == want
 
 
+def test_runs_are_found_on_a_whole_host(spark):
+    """A run on few pages of a large host goes; a page stored several times, or under another menu, keeps its text."""
+    rng = random.Random(14)
+    notice = "this rare notice stands on very few pages of the host only"
+    own = [syllables(rng, 20) + f" {i}" for i in range(1300)]
+    rows = [(i, f"http://big.org/{i}", f"<body><div>{own[i]}</div>" + (f"<div>{notice}</div>" if i % 400 == 7 else ""), "x", "y") for i in range(1300)]
+    copy = syllables(rng, 30)
+    rows += [(5000 + i, f"http://copy.org/{i}", f"<body><nav>{syllables(rng, i + 3)}</nav><div>{copy}</div>", "x", "y") for i in range(4)]
+    rows += [(6000, "http://copy.org/a", f"<body><div>{copy}</div>", "x", "y")] * 3
+    got = main_text.main_text(spark.createDataFrame(rows, PAGES).repartition(4)).collect()
+    assert len(got) == len(rows)
+    assert all(r.text == (own[r.page_id] if r.page_id < 5000 else copy) for r in got)
+
+
 def test_suffix_array_coverage():
     rng = np.random.default_rng(1)
     tokens_ = rng.integers(0, 3, 400).astype(np.uint64)
