@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from metrolens.llm.common import ship, text_rows
-from metrolens.llm.tokens import encoder
+from metrolens.llm.tokens import encoded, encoder
 
 ship(__name__)
 
@@ -155,8 +155,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, tiers: tup
 
         held, rests, tokens = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.ids(text.as_py())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(enc, batch.column(1))):
                 ids = np.concatenate((ids.astype("<u4"), np.array([end_id], "<u4")))
                 if len(ids) % top:
                     rests.append((len(held), len(ids) - len(ids) % top, len(ids) % top))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metrolens.llm.common import ship, text_rows
-from metrolens.llm.tokens import encoder
+from metrolens.llm.tokens import encoded, encoder
 
 ship(__name__)
 
@@ -99,8 +99,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         index = []
         with store.open_output_stream(f"{name}.rec", buffer_size=READ_BYTES) as out:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = np.concatenate((enc.ids(text.as_py()).astype(wide, copy=False), end))
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(enc, batch.column(1))):
+                    ids = np.concatenate((ids.astype(wide, copy=False), end))
                     rec = frame(pack_payload(doc_id, ids))
                     out.write(rec)
                     index.append((doc_id or 0, at, len(rec)))

@@ -13,8 +13,10 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from metrolens.llm.common import process_cache, ship
 
@@ -26,6 +28,8 @@ OTHERS = "!-&(-@[-`{-~"  # visible ASCII but letters and the apostrophe
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Pieces kept per worker and tokenizer; beyond it the memo starts anew. About 250 bytes each.
 MEMO_PIECES = 800_000
+LEARN_PIECES = 4096  # encoded together
+PORTION = 1 << 20
 
 
 class _Memo(dict):
@@ -55,6 +59,7 @@ class TextEncoder:
         self.memo = _Memo(self.tok.encode, self.dtype, memo_pieces)
         spec = json.loads(self.tok.to_str())
         added = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if special or not t["special"]]
+        self.spelled = None
         self.marked = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
         kind = self._kind(spec)
         self.lower = kind == "words"
@@ -86,10 +91,53 @@ class TextEncoder:
         pieces = self.find(text.lower() if self.lower else text)
         return np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), self.dtype)
 
-
-def encoder(path: str) -> TextEncoder:
+    def all_ids(self, texts: list[str]) -> list[np.ndarray]:
+        """``ids`` of each text; pieces that the memo lacks are encoded together."""
+        cut = [None if self.odd(t) or self.marked(t) else self.find(t.lower() if self.lower else t) for t in texts]
+        if self.find:
+            self.learn(list({p for pieces in cut if pieces for p in pieces if p not in self.memo}))
+        take = self.memo.__getitem__
+        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if pieces is None
+                else np.frombuffer(b"".join(map(take, pieces)), self.dtype) for t, pieces in zip(texts, cut)]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Keeps the ids of ``pieces``, encoded as one text in which a separator that the tokenizer always cuts at stands behind
+        each; the numbers of bytes tell where a piece ends. Without a clean cut the pieces are left to the memo."""
+        if self.spelled is None:
+            self.spelled = np.zeros(self.tok.get_vocab_size(), np.int64)  # bytes of each id; a byte is a character of its name
+            for name, i in self.tok.get_vocab().items():
+                self.spelled[i] = len(name.removesuffix("</w>")) if self.lower else len(name)
+        mark = " " if self.lower else "\n"
+        pieces = [p for p in pieces if p != mark]
+        for at in range(0, len(pieces), LEARN_PIECES):
+            some = pieces[at:at + LEARN_PIECES]
+            if len(self.memo) + len(some) > self.memo.cap:
+                self.memo.clear()
+            ids = np.array(self.tok.encode_batch_fast([mark.join((*some, ""))], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.cumsum([(len(p) if p.isascii() else len(p.encode())) + (not self.lower) for p in some])
+            reached = np.cumsum(self.spelled[ids])
+            cuts = np.searchsorted(reached, ends)
+            if len(reached) and reached[-1] == ends[-1] and (reached[cuts] == ends).all():
+                small = ids.astype(self.dtype)
+                for p, lo, hi in zip(some, (0, *(cuts[:-1] + 1)), cuts + self.lower):
+                    self.memo[p] = small[lo:hi].tobytes()
+
+
+def encoder(path: str, special: bool = True) -> TextEncoder:
     """This worker's encoder for the tokenizer file ``path``."""
     cache = process_cache("encoders")
-    if path not in cache:
-        cache[path] = TextEncoder(path, special=True)
-    return cache[path]
+    if (path, special) not in cache:
+        cache[path, special] = TextEncoder(path, special=special)
+    return cache[path, special]
+
+
+def encoded(enc: TextEncoder, texts: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each text of an Arrow column, worked on in portions of PORTION characters or more."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= PORTION:
+            yield from enc.all_ids(held)
+            held, size = [], 0
+    yield from enc.all_ids(held)
