@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolens.llm import chunk_dedup, cws, fuzzy_lines, main_text, minmax, mixing, packing, records, toxicity, url_reputation
+from metrolens.llm import (alignment, chunk_dedup, cws, fuzzy_lines, main_text, minmax, mixing, multi_index, one_bit, packing, records,
+                           toxicity, url_reputation)
 from metrolens.llm.common import table
 from metrolens.session import scratch_path
 
@@ -90,3 +91,34 @@ def op9_minmax_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.dedupe_lines(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op12_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_one_bit_negatives"] = """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+                  [floor(256 * cast(x as double)) for x in embedding] v
+           from embeddings
+           where label is not null and len(embedding) > 0 and list_count(embedding) = len(embedding)
+             and len([x for x in embedding if not isfinite(x)]) = 0),
+s as (select a.vec_id a, b.vec_id b, a.l = b.l same, cast(list_dot_product(a.v, b.v) as bigint) n
+      from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select a, b, n from s where same qualify row_number() over (partition by a order by n desc, b) <= 5)
+select p.a anchor_id, p.b positive_id,
+       cast(row_number() over (partition by p.a, p.b order by s.n desc, s.b) as int) "rank",
+       s.b negative_id, p.n positive_score, s.n negative_score
+from p join s on s.a = p.a and not s.same and 30 * p.n <= 100 * s.n and 100 * s.n <= 90 * p.n
+qualify row_number() over (partition by p.a, p.b order by s.n desc, s.b) <= 10"""
