@@ -25,6 +25,8 @@ PLOT_DIST_MAX, PLOT_FARE_MAX = 0.22, 60.0
 PICKUP_CLUSTERS = 20
 DROPOFF_CLUSTERS = 5
 KMEANS_SEED = 1
+KMEANS_ROUNDS = 10            # of the repeatable fit
+COORDINATE_SCALE = 1_000_000.0  # parts of a degree in the repeatable fit
 QUANTILE_BUCKETS = 100
 SGD_ITERATIONS = 100
 SGD_STEP = 0.2

@@ -60,6 +60,24 @@ def plot_window(df: DataFrame, x_col: str = "distance", y_col: str = "fare_amoun
     return df.where(F.col(x_col).between(0.0, x_max) & F.col(y_col).between(0.0, y_max))
 
 
+#: Reject reasons of a bike ride, in the order in which they are looked for.
+BIKE_REJECTS = ("duration", "start time", "stop time", "start station", "end station", "end name")
+
+
+def with_bike_reject_reason(df: DataFrame, time_col: str = "starttime", stop_col: str = "stoptime",
+                            pattern: str = tp.BIKE_TIME_PATTERN, reason_col: str = "reject_reason") -> DataFrame:
+    """Rides with the first of BIKE_REJECTS that makes them unusable, NULL for usable ones. One column serves the
+    clean rides and the rejects beside them, so dropped rides are counted, not lost."""
+    good = (F.col("duration") > 0, tp.parse_timestamp(time_col, pattern).isNotNull(), tp.parse_timestamp(stop_col, pattern).isNotNull(),
+            F.col("startId") > 0, F.col("endId") > 0, F.trim(F.col("endName")) != "")
+    return df.withColumn(reason_col, F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for ok, name in zip(good, BIKE_REJECTS)]))
+
+
+def reject_counts(df: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
+    """``(reason, rows)``, reason ``kept`` for the rows without a reject reason."""
+    return df.groupBy(F.coalesce(reason_col, F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def clean_bike_trips(df: DataFrame, time_col: str = "starttime", stop_col: str = "stoptime",
                      pattern: str = tp.BIKE_TIME_PATTERN,
                      drop_cols=("gender", "birth year", "usertype")) -> DataFrame:
@@ -68,7 +86,7 @@ def clean_bike_trips(df: DataFrame, time_col: str = "starttime", stop_col: str =
     Adds ``month``, ``year`` and ``startHour`` from the parsed start time;
     keeps rows with positive duration, parseable start and stop, positive
     start and end station ids and a non-empty end station name; drops the
-    rider columns.
+    rider columns. ``with_bike_reject_reason`` tells the others' reasons.
     """
     start = tp.parse_timestamp(time_col, pattern)
     stop = tp.parse_timestamp(stop_col, pattern)
@@ -86,13 +104,6 @@ def clean_bike_trips(df: DataFrame, time_col: str = "starttime", stop_col: str =
     return out.drop(*[c for c in drop_cols if c in df.columns])
 
 
-def unreadable_time_count(df: DataFrame, time_col: str = "starttime", stop_col: str = "stoptime",
-                          pattern: str = tp.BIKE_TIME_PATTERN) -> DataFrame:
-    """One-row frame with the number of rides ``clean_bike_trips`` drops for a time that doesn't fit ``pattern``."""
-    bad = tp.parse_timestamp(time_col, pattern).isNull() | tp.parse_timestamp(stop_col, pattern).isNull()
-    return df.agg(F.count(F.when(bad, F.lit(1))).alias("dropped"))
-
-
 def coordinate_bounds(df: DataFrame, lat_col: str = "latitude", lon_col: str = "longtitude",
                       lat_max: float | None = 50.0, lat_min: float | None = None,
                       lon_max: float | None = None, lon_min: float | None = None) -> DataFrame:

@@ -52,6 +52,9 @@ def histogram_2d(df: DataFrame, x_col: str, y_col: str, bins: int = HIST_BINS) -
                       (F.col("y0") + F.col("y_bin") * F.col("sy")).alias("y_lo"), "count")
 
 
+VALUE_DIGITS = 6  # decimal places of summed values
+
+
 def default_window(resolution: int) -> int:
     """Smoothing window: 1 % of the resolution, at least 1 (decision D16)."""
     return max(1, int(0.01 * resolution))
@@ -64,17 +67,22 @@ def grid_cells(pixels: DataFrame, x_col: str = "x_pixel", y_col: str = "y_pixel"
 
     Cell = (int(y * k) + w, int(x * k) + w) with k = (resolution - 1) / size,
     truncation toward zero; cells outside [0, resolution + 2w) are dropped.
+    Values are added as decimals of VALUE_DIGITS places, so a cell's sum does
+    not depend on the order of its points; NULL, NaN and infinite values count as 0.
     """
     res = resolution or size
     w = window or default_window(res)  # 0 means the default too
     k = (res - 1) / size
     imgw = res + 2 * w
-    z = F.col(value_col).cast("double") if value_col else F.lit(1.0)
+    z = F.lit(1)
+    if value_col:
+        value = F.col(value_col).cast("double")
+        z = F.when(F.abs(value) < math.inf, value).otherwise(0.0).cast(f"decimal(28,{VALUE_DIGITS})")
     cells = pixels.select((F.col(x_col) * k).try_cast("long").alias("_ix"),
                           (F.col(y_col) * k).try_cast("long").alias("_iy"), z.alias("_z"))
     cells = cells.select((F.col("_iy") + w).alias("iy"), (F.col("_ix") + w).alias("ix"), "_z")
     cells = cells.where((F.col("ix") >= 0) & (F.col("ix") < imgw) & (F.col("iy") >= 0) & (F.col("iy") < imgw))
-    return cells.groupBy("iy", "ix").agg(F.sum("_z").alias("z"))
+    return cells.groupBy("iy", "ix").agg(F.sum("_z").cast("double").alias("z"))
 
 
 def gaussian_kernel(sigma: float, truncate: float = GAUSS_TRUNCATE) -> list[tuple[int, float]]:

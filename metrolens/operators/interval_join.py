@@ -239,6 +239,6 @@ def tickets_per_segment_direct(tickets: DataFrame, segments: DataFrame, *, by: S
                                count_col: str = "count") -> DataFrame:
     """The plain plan (equi-join on the street, range OR as residual); kept as the test oracle."""
     segs = typed_segments(segments, ranges)
-    t = tickets.withColumn("_hn", F.col(number_col).try_cast("int"))
+    t = tickets.withColumn("_hn", whole_number(number_col))
     joined = t.join(segs, (F.col(label_col) == F.col(street_col)) & _range_hit(F.col("_hn"), ranges))
     return joined.groupBy(*segment_cols, *by).agg(F.count(F.lit(1)).alias(count_col))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import DEFAULT_ZOOM, MAX_SIZE, SCALE
 from ..functions.geometry import mercator_x, mercator_y
 from .cleaning import valid_markers
+from .ranks import with_position
 
 
 def map_bounds(points: DataFrame, lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
@@ -127,3 +128,19 @@ def line_arrays(lines: DataFrame, line_col: str = "line_id") -> DataFrame:
     """
     pts = F.sort_array(F.collect_list(F.struct(F.col("seq"), F.col("x_pixel").alias("x"), F.col("y_pixel").alias("y"))))
     return lines.groupBy(line_col).agg(pts.alias("points"))
+
+
+def line_chunks(lines: DataFrame, line_col: str = "line_id", seq_col: str = "seq", chunk_points: int = 1000) -> DataFrame:
+    """Whole lines as ordered arrays of at most ``chunk_points`` points: ``(line, chunk, points array<struct<seq, x, y>>)``.
+
+    Points get their place in (line, seq, x, y) order from range partitions (see ``ranks``); a line's chunks are
+    numbered by the distance from its first point, so they come together chunk by chunk and a long line meets in no
+    task. The chunks of a line in order hold all its points in order.
+    """
+    keys = [line_col, seq_col, "x_pixel", "y_pixel"]
+    placed = with_position(lines.select(*keys), [F.col(c) for c in keys], "_place")
+    start = placed.groupBy(F.col(line_col).alias("_line")).agg(F.min("_place").alias("_start"))
+    in_line = placed.join(start, F.col(line_col).eqNullSafe(F.col("_line"))).withColumn("_at", F.col("_place") - F.col("_start"))
+    pts = F.array_sort(F.collect_list(F.struct("_at", F.col(seq_col).alias("seq"), F.col("x_pixel").alias("x"), F.col("y_pixel").alias("y"))))
+    chunks = in_line.groupBy(line_col, F.floor(F.col("_at") / chunk_points).alias("chunk")).agg(pts.alias("p"))
+    return chunks.select(line_col, "chunk", F.transform("p", lambda q: F.struct(q["seq"].alias("seq"), q["x"].alias("x"), q["y"].alias("y"))).alias("points"))

@@ -306,8 +306,9 @@ def _chain_sql(points: str) -> str:
             f"[]::STRUCT(x DOUBLE, y DOUBLE)[])")
 
 
-ORACLES["cluster_hulls"] = f"""
-with p as (select l_suppkey % 7 as cluster, l_extendedprice / 1000.0::double as x,
+def _hulls_sql(cluster: str) -> str:
+    return f"""
+with p as (select {cluster} as cluster, l_extendedprice / 1000.0::double as x,
                   l_quantity + l_discount * 10.0::double as y from lineitem),
 n as (select cluster, count(*) as n_points from p group by cluster),
 s as (select cluster, list({{'x': x, 'y': y}} order by x, y) as pts
@@ -318,3 +319,131 @@ select cluster, cast(i as int) as vertex, pt.x as x, pt.y as y, n_points
 from (select h.cluster, unnest(hull) as pt, unnest(range(len(hull))) as i, n.n_points
       from h join n on h.cluster = n.cluster
       where len(hull) >= 3 and n.n_points >= 3)"""
+
+
+ORACLES["cluster_hulls"] = _hulls_sql("l_suppkey % 7")
+ORACLES["cluster_hulls_many"] = _hulls_sql("l_partkey")
+
+ORACLES["line_points"] = f"""
+with {_LINE_PTS}, {_frame('lp')},
+px as (select line_id, seq, {_LX} as x, {_LY} as y from lp, f),
+r as (select *, row_number() over (partition by line_id order by seq, x, y) - 1 as pos from px)
+select line_id, pos // 3 as chunk, cast(pos % 3 as int) as place, seq, round(x, 6) as x, round(y, 6) as y from r"""
+
+ORACLES["density_values"] = f"""
+with {_PIXELS},
+cells as (
+  select iy, ix, cast(sum(cast(e.value as decimal(28, 6))) as double) as z from (
+    select point_id, cast(trunc(y * {_K}) as bigint) + 1 as iy, cast(trunc(x * {_K}) as bigint) + 1 as ix from px) c
+  join events e on e.event_id = c.point_id
+  where ix >= 0 and ix < 130 and iy >= 0 and iy < 130 group by 1, 2)
+select cast(iy as int) as iy, cast(ix as int) as ix, z from cells"""
+
+ORACLES["bike_rejects"] = f"""
+select case when duration <= 0 then 'duration' when trip_id % 11 = 0 then 'start time' when start_id <= 0 then 'start station'
+            when end_id <= 0 then 'end station' when trim(end_name) = '' then 'end name' else 'kept' end as reason, count(*) as rows
+from ({_BIKES}) group by 1"""
+
+ORACLES["fit_rejects"] = """
+select case when l_orderkey % 7 = 0 then 'unusable fare_amount' when l_linenumber = 4 then 'unusable distance' else 'kept' end as reason,
+       count(*) as rows
+from lineitem group by 1"""
+
+
+# ---------------------------------------------------------------- fits in SQL
+
+
+def _share(seed: int) -> str:
+    return f"(cast('0x' || substr(md5('{seed}|' || l_orderkey || '|' || l_linenumber), 1, 8) as bigint) / 4294967296.0::double)"
+
+
+def _det(m: list[list[str]]) -> str:
+    """Determinant by the first row's minors."""
+    if len(m) == 1:
+        return m[0][0]
+    terms = [f"{'-' if j % 2 else '+'} {m[0][j]} * ({_det([row[:j] + row[j + 1:] for row in m[1:]])})" for j in range(len(m))]
+    return " ".join(terms)
+
+
+def _fit_sql(ctes: str, features: list[str], intercept: bool) -> str:
+    """Least squares by the normal equations (Cramer's rule) on the training rows of CTE ``d`` (y, features, share)."""
+    f = [*features, "1.0::double"] if intercept else features
+    n = range(len(f))
+    sums = ", ".join([f"sum({f[i]} * {f[j]}) as s{i}{j}" for i in n for j in n] + [f"sum({f[i]} * y) as t{i}" for i in n])
+    m = [[f"s{i}{j}" for j in n] for i in n]
+    solved = ", ".join(f"({_det([[f't{i}' if j == c else m[i][j] for j in n] for i in n])}) / ({_det(m)}) as b{c}" for c in n)
+    fitted = " + ".join(f"b{i} * {f[i]}" for i in n)
+    metrics = lambda p, c: (f"round(sqrt(avg((y - p) * (y - p)) filter ({c})), 6) as {p}_rmse, "
+                            f"round(var_pop(p) filter ({c}) + pow(avg(p) filter ({c}) - avg(y) filter ({c}), 2), 6) as {p}_explained_variance, "
+                            f"count(*) filter ({c}) as {p}_n")
+    names = [f"round(min(b{i}), 5) as {'intercept' if intercept and i == len(features) else f'coefficient_{i}'}" for i in n]
+    return f"""
+with {ctes},
+g as (select {sums} from d where share < 0.8),
+b as (select {solved} from g),
+q as (select d.*, b.*, {fitted} as p from d, b)
+select {', '.join(names)}, {metrics('train', 'share < 0.8')}, {metrics('test', 'share >= 0.8')} from q"""
+
+
+def _distance_rows(sample: str = "") -> str:
+    return f"""d as (select fare as y, distance as x, {_share(7)} as share
+            from (select *, {_DIST} as distance from ({_TAXI}) where {_IN_BOX})
+            where fare > 0 and fare < 60 and distance < 0.21 and distance > 0 {sample})"""
+
+
+def _cuts(rows: str, col: str, buckets: int) -> str:
+    """The distinct values of rank ceil(i * n / buckets), as a list."""
+    return (f"(select list(distinct v) from (select {col} as v, row_number() over (order by {col}) as r, count(*) over () as n from {rows}) "
+            f"where exists (select 1 from range(1, {buckets}) t(i) where r = (i * n + {buckets - 1}) // {buckets}))")
+
+
+def _kmeans(p: str, rows: str, x: str, y: str, k: int, rounds: int = 10) -> str:
+    """CTEs {p}0 .. {p}rounds (i, cx, cy) of the centres in millionths, and {p}n (i, rows) of the last round."""
+    whole = lambda c: f"cast(floor({c} * 1000000.0::double + 0.5) as bigint)"
+    away = "(px::double - cx) * (px::double - cx) + (py::double - cy) * (py::double - cy)"
+    out = [f"{p}d as materialized (select {whole(x)} as px, {whole(y)} as py, count(*) as n from {rows} group by 1, 2)",
+           f"{p}0 as materialized (select cast(row_number() over (order by md5('1|' || px || '|' || py), px, py) - 1 as int) as i, "
+           f"px::double as cx, py::double as cy from {p}d qualify i < {k})"]
+    for t in range(rounds):
+        out.append(f"{p}a{t} as materialized (select px, py, n, i from {p}d, {p}{t} qualify row_number() over (partition by px, py order by {away}, i) = 1)")
+        out.append(f"{p}{t + 1} as materialized (select c.i, coalesce(sx, cx) as cx, coalesce(sy, cy) as cy from {p}{t} c left join "
+                   f"(select i, cast(sum(px * n) as double) / sum(n) as sx, cast(sum(py * n) as double) / sum(n) as sy from {p}a{t} group by i) s on s.i = c.i)")
+    out.append(f"{p}n as (select c.i, cast(coalesce(sum(a.n), 0) as bigint) as rows from {p}{rounds} c left join {p}a{rounds - 1} a on a.i = c.i group by c.i)")
+    scaled = "cx / 1000000.0::double * 1000000.0::double as cx, cy / 1000000.0::double * 1000000.0::double as cy"
+    out.append(f"{p}f as materialized (select px, py, i from {p}d, (select i, {scaled} from {p}{rounds}) c "
+               f"qualify row_number() over (partition by px, py order by {away}, i) = 1)")
+    return ",\n".join(out)
+
+
+_PICKUPS = """e as (select event_id, user_id::double / 1000.0::double + 40.6::double as lat,
+                   value / 5000.0::double - 74.0::double as lon from events)"""
+_BUCKETED = ", ".join(f"cast(len([c for c in {b} if c <= {c}]) as double) as f{i}"
+                      for i, (b, c) in enumerate(zip(("c0", "c1", "c2", "c3"), ("plat", "plon", "dlat", "dlon"))))
+_FIXED = "cast(floor({} * 1000000.0::double + 0.5) as bigint)"
+
+ORACLES |= {
+    "fare_regression_distance": _fit_sql(_distance_rows(), ["x"], True),
+    "fare_regression_sample": _fit_sql(_distance_rows(f"and {_share(7)} < 0.5"), ["x"], True),
+    "fare_regression_buckets": _fit_sql(f"""r as materialized (select * from ({_TAXI}) where {_IN_BOX}),
+k as (select {', '.join(f"{_cuts('r', c, 100)} as c{i}" for i, c in enumerate(('plat', 'plon', 'dlat', 'dlon')))}),
+d as materialized (select fare as y, {_share(7)} as share, {_BUCKETED} from r, k)""", ["f0", "f1", "f2", "f3"], False),
+    "fare_regression_clusters": _fit_sql(f"""r as materialized (select * from ({_TAXI}) where plat <> 0 and plon <> 0 and dlat <> 0 and dlon <> 0),
+{_kmeans('u', 'r', 'plat', 'plon', 20)},
+{_kmeans('v', 'r', 'dlat', 'dlon', 5)},
+d as materialized (select fare as y, {_share(7)} as share, uf.i::double as f0, vf.i::double as f1
+      from r join uf on uf.px = {_FIXED.format('plat')} and uf.py = {_FIXED.format('plon')}
+             join vf on vf.px = {_FIXED.format('dlat')} and vf.py = {_FIXED.format('dlon')})""", ["f0", "f1"], False),
+    "pickup_clusters": f"""
+with {_PICKUPS}, {_kmeans('u', 'e', 'lat', 'lon', 20)}
+select event_id, lat as pickup_latitude, lon as pickup_longitude, i as predction_pickup
+from e join uf on px = {_FIXED.format('lat')} and py = {_FIXED.format('lon')}""",
+    "pickup_centres": f"""
+with {_PICKUPS}, {_kmeans('u', 'e', 'lat', 'lon', 20)}
+select c.i as cluster, round(cx / 1000000.0::double, 6) as pickup_latitude, round(cy / 1000000.0::double, 6) as pickup_longitude, rows
+from u10 c join un on un.i = c.i""",
+    "quantile_buckets": f"""
+with k as (select {_cuts('lineitem', 'l_extendedprice', 10)} as c)
+select cast(len([x for x in c if x <= l_extendedprice]) as double) as l_extendedprice_bucket, count(*) as rows,
+       min(l_extendedprice) as lo, max(l_extendedprice) as hi
+from lineitem, k group by 1""",
+}

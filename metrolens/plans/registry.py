@@ -153,6 +153,14 @@ def q_bike_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("endName").alias("end_name"), "month", "year", F.col("startHour").alias("start_hour"))
 
 
+@register("bike_rejects")
+def q_bike_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20 + F15: rides kept and dropped, by the reason they are dropped for."""
+    b = syn.bike_trips_from_orders(spark, sf_dir)
+    bad_time = F.when(F.col("trip_id") % 11 == 0, F.lit("2013-13-45")).otherwise(F.col("starttime"))
+    return cleaning.reject_counts(cleaning.with_bike_reject_reason(b.withColumn("starttime", bad_time)))
+
+
 @register("season_split")
 def q_season_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides per season."""
@@ -230,6 +238,15 @@ def q_density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"), "z")
 
 
+@register("density_values")
+def q_density_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summed value per cell of the padded 128-px density grid."""
+    ev = syn.map_points_from_events(spark, sf_dir).join(
+        syn.table(spark, sf_dir, "events").select(F.col("event_id").alias("point_id"), "value"), "point_id")
+    g = density.grid_cells(mapping.fit_to_map(ev), value_col="value", resolution=128)
+    return g.select(F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"), "z")
+
+
 @register("density_smooth")
 def q_density_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaussian-smoothed density, blank threshold and crop, 128-px grid."""
@@ -251,6 +268,21 @@ def q_line_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("last.x", _R6).alias("last_x"), F.round("last.y", _R6).alias("last_y"))
 
 
+@register("line_points")
+def q_line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point of every line, in order, from chunks of three points."""
+    chunks = mapping.line_chunks(mapping.line_overlay(syn.line_points_from_lineitem(spark, sf_dir)), chunk_points=3)
+    return chunks.select("line_id", "chunk", F.posexplode("points").alias("place", "p")).select(
+        "line_id", "chunk", "place", F.col("p.seq").alias("seq"), F.round("p.x", _R6).alias("x"), F.round("p.y", _R6).alias("y"))
+
+
+@register("cluster_hulls_many")
+def q_cluster_hulls_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 + A14 with thousands of clusters: a hull per part."""
+    pts = syn.cluster_points_from_lineitem(spark, sf_dir, cluster="l_partkey")
+    return hull.cluster_hulls(pts)
+
+
 @register("cluster_hulls")
 def q_cluster_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G7 + A14: convex hull vertices per cluster, in order (SQL oracle: monotone chain over lists)."""
@@ -288,38 +320,78 @@ def q_fare_distance_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n"))
 
 
+_TRIP_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _fit_row(r: ml.FitResult, coefficients: int, intercept: bool) -> DataFrame:
+    s = ml.fit_summary(r.model, r.metrics)
+    cols = [F.round(F.col("coefficients")[i], 5).alias(f"coefficient_{i}") for i in range(coefficients)]
+    cols += [F.round("intercept", 5).alias("intercept")] if intercept else []
+    return s.select(*cols, *[F.round(f"{p}_{m}", 6).alias(f"{p}_{m}") for p in ("train", "test") for m in ("rmse", "explained_variance")],
+                    "train_n", "test_n")
+
+
 @register("fare_regression_distance")
 def q_fare_regression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fare on distance with an 80/20 split; test and train metrics (rows-only)."""
-    r = ml.fare_regression_distance(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
-    return ml.fit_summary(r.model, r.metrics)
+    """Fare on distance, rows split 80/20 by the hash of their key; test and train metrics."""
+    return _fit_row(ml.fare_regression_distance(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7, key_cols=_TRIP_KEY), 1, True)
 
 
 @register("fare_regression_buckets")
 def q_fare_regression_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fare on 100 quantile buckets of the four coordinates, no intercept (rows-only)."""
-    r = ml.fare_regression_buckets(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
-    return ml.fit_summary(r.model, r.metrics)
+    """Fare on 100 exact quantile buckets of the four coordinates, no intercept."""
+    return _fit_row(ml.fare_regression_buckets(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7, key_cols=_TRIP_KEY), 4, False)
 
 
 @register("fare_regression_clusters")
 def q_fare_regression_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9: fare on pickup (k=20) and dropoff (k=5) cluster ids, no intercept (rows-only)."""
-    r = ml.fare_regression_clusters(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7)
-    return ml.fit_summary(r.model, r.metrics)
+    """Fare on pickup (k=20) and dropoff (k=5) cluster numbers, no intercept."""
+    return _fit_row(ml.fare_regression_clusters(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7, key_cols=_TRIP_KEY), 2, False)
+
+
+@register("fare_regression_sample")
+def q_fare_regression_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 + M11: the same fit on half of the trips, chosen by the hash of their key."""
+    return _fit_row(ml.fare_regression_distance(syn.taxi_trips_from_lineitem(spark, sf_dir), seed=7, sample_fraction=0.5, key_cols=_TRIP_KEY), 1, True)
+
+
+@register("fit_rejects")
+def q_fit_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: trips that a fit of fare on distance uses, and those it leaves out, by reason."""
+    t = cleaning.with_trip_distance(syn.taxi_trips_from_lineitem(spark, sf_dir))
+    t = t.withColumn("fare_amount", F.when(F.col("l_orderkey") % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("fare_amount"))) \
+         .withColumn("distance", F.when(F.col("l_linenumber") == 4, F.lit(float("nan"))).otherwise(F.col("distance")))
+    return cleaning.reject_counts(t.withColumn("reject_reason", ml.fit_reject_reason("fare_amount", ["distance"])))
+
+
+_PICKUP = ["pickup_latitude", "pickup_longitude"]
 
 
 @register("pickup_clusters")
 def q_pickup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1-M3: k-means (k=20, seed 1) on pickup points; the cluster export rows (rows-only)."""
+    """M1-M3: repeatable k-means (k=20, seed 1) on pickup points; the cluster export rows."""
     t = syn.taxi_trips_from_events(spark, sf_dir)
-    _, out = ml.kmeans_clusters(t, ["pickup_latitude", "pickup_longitude"])
+    out = ml.nearest_centre(t, _PICKUP, ml.repeatable_centres(t, _PICKUP))
     return out.select("event_id", *ml.cluster_export(out).columns)
 
 
+@register("pickup_centres")
+def q_pickup_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the fitted centres and the points behind each."""
+    c = ml.repeatable_centres(syn.taxi_trips_from_events(spark, sf_dir), _PICKUP)
+    return c.select("cluster", *_round(_PICKUP), "rows")
+
+
+@register("pickup_clusters_ml")
+def q_pickup_clusters_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 by Spark ML's k-means (k=20, seed 1): points per cluster (rows-only: the result follows the partitioning)."""
+    _, out = ml.kmeans_clusters(syn.taxi_trips_from_events(spark, sf_dir), _PICKUP)
+    return out.groupBy("predction_pickup").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("quantile_buckets")
 def q_quantile_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: 10 quantile buckets of price with the sketch's default error; rows per bucket (rows-only)."""
+    """M4: 10 exact quantile buckets of price; rows, least and greatest price per bucket."""
     b = ml.quantile_buckets(syn.table(spark, sf_dir, "lineitem"), ["l_extendedprice"], num_buckets=10)
     return b.groupBy("l_extendedprice_bucket").agg(F.count(F.lit(1)).alias("rows"),
                                                    F.min("l_extendedprice").alias("lo"),

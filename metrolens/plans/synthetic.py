@@ -198,10 +198,10 @@ def line_points_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.lit(-74.0) + F.col("l_discount")).alias("longitude"))
 
 
-def cluster_points_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clustered points: cluster = supplier key % 7, x = price / 1000, y = quantity + 10 * discount."""
+def cluster_points_from_lineitem(spark: SparkSession, sf_dir: str, cluster: str = "l_suppkey % 7") -> DataFrame:
+    """Clustered points: cluster = supplier key % 7 (or another expression), x = price / 1000, y = quantity + 10 * discount."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select((F.col("l_suppkey") % 7).alias("cluster"),
+    return li.select(F.expr(cluster).alias("cluster"),
                      (F.col("l_extendedprice") / 1000.0).alias("x_pixel"),
                      (F.col("l_quantity") + F.col("l_discount") * 10.0).alias("y_pixel"))
 

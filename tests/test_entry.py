@@ -11,8 +11,7 @@ from metrolens.plans import registry
 
 from .conftest import SF_SMALL
 
-ROWS_ONLY = {"fare_regression_distance", "fare_regression_buckets", "fare_regression_clusters",
-             "pickup_clusters", "quantile_buckets"}
+ROWS_ONLY = {"pickup_clusters_ml"}
 
 
 def _norm(v):

@@ -3,11 +3,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from metrolens import constants as K
 from metrolens.functions import geometry
-from metrolens.operators import density, hull, mapping
+from metrolens.operators import density, hull, mapping, ranks
 from metrolens.session import scratch_path
 from metrolens.sources import geojson
 
@@ -147,6 +148,58 @@ def _inside_or_on(poly, p):
     return True
 
 
+def chain(points):
+    """Andrew's monotone chain, point by point."""
+    pts = sorted(set(map(tuple, points)))
+
+    def half(seq):
+        out = []
+        for p in seq:
+            while len(out) >= 2 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]) <= 0:
+                out.pop()
+            out.append(p)
+        return out
+    return pts if len(pts) < 3 else half(pts)[:-1] + half(pts[::-1])[:-1]
+
+
+def test_hull_vertices_of_many_clusters_at_once():
+    rng = np.random.default_rng(8)
+    cluster = rng.integers(0, 300, 4000)
+    x, y = rng.integers(0, 12, 4000).astype(float), rng.integers(0, 12, 4000).astype(float)  # many ties and collinear points
+    n = rng.integers(1, 5, 4000)
+    c, hx, hy, hn = hull.hull_vertices(cluster, x, y, n)
+    for k in range(300):
+        own = cluster == k
+        assert list(zip(hx[c == k], hy[c == k])) == chain(zip(x[own], y[own]))
+        assert hn[c == k].sum() == n[own].sum()
+
+
+def test_hull_of_a_chain_that_thins_one_point_a_round():
+    x = np.arange(400.0)
+    y = x * x
+    x, y = np.append(x, 400.0), np.append(y, -1.0)
+    zero = np.zeros(len(x), np.int64)
+    _, hx, hy, hn = hull.hull_vertices(zero, x, y, zero + 1)
+    assert list(zip(hx, hy)) == chain(zip(x, y)) and hn[0] == 401
+
+
+def test_hulls_with_full_buffers(spark):
+    rng = np.random.default_rng(9)
+    rows = [(int(c), float(x), float(y)) for c, (x, y) in zip(rng.integers(0, 40, 6000), rng.normal(size=(6000, 2)))]
+    rows += [(99, float(np.cos(a)), float(np.sin(a))) for a in np.linspace(0, 6, 700)]  # all are vertices: state is passed on
+    df = spark.createDataFrame(rows, "cluster int, x_pixel double, y_pixel double").repartition(3)
+    size, hull.BUFFER_ROWS = hull.BUFFER_ROWS, 256
+    try:
+        got = {}
+        for r in hull.cluster_hulls(df, fan_in=3).collect():
+            got.setdefault(r.cluster, []).append((r.vertex, r.x, r.y, r.n_points))
+    finally:
+        hull.BUFFER_ROWS = size
+    for k in {r[0] for r in rows}:
+        own = [(x, y) for c, x, y in rows if c == k]
+        assert [v[1:3] for v in sorted(got[k])] == chain(own) and {v[3] for v in got[k]} == {len(own)}
+
+
 def test_hulls_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = []
@@ -172,16 +225,55 @@ def test_hulls_brute_force(spark):
             a, b, d = poly[i - 1], poly[i], poly[(i + 1) % len(poly)]
             assert (b[0] - a[0]) * (d[1] - a[1]) - (b[1] - a[1]) * (d[0] - a[0]) > 0
         # same hull as one pass over all points of the cluster
-        ref = hull.monotone_chain(np.array(pts))
+        ref = chain(pts)
         assert sorted(map(tuple, ref)) == sorted(poly)
 
 
+def test_positions_are_global_and_total(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(v), i) for i, v in enumerate(rng.integers(0, 50, 3000))]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    got = {(r.a, r.b): r.position for r in ranks.with_position(df, [F.col("a").desc(), F.col("b")]).collect()}
+    assert [got[k] for k in sorted(rows, key=lambda r: (-r[0], r[1]))] == list(range(3000))
+    plan = hull.cluster_ranks(df.withColumnRenamed("a", "cluster"))._jdf.queryExecution().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
 def test_cluster_ranks(spark):
     df = spark.createDataFrame([(3,), (1,), (3,), (7,)], "cluster int")
     got = {r.cluster: r.color_rank for r in hull.cluster_ranks(df).collect()}
     assert got == {1: 2, 3: 1, 7: 0}
 
 
+def test_line_chunks_hold_all_points_in_order(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), int(q), 40.0 + float(v), -74.0) for k, q, v in zip(rng.integers(0, 9, 900), rng.integers(0, 200, 900), rng.random(900))]
+    rows += [(50, i, 40.5, -74.0 + i / 1e4) for i in range(600)] + [(None, 1, 40.1, -74.0), (None, 0, 40.2, -74.0)]
+    df = spark.createDataFrame(rows, "line_id int, seq int, latitude double, longitude double").repartition(4)
+    overlay = mapping.line_overlay(df)
+    want = {}
+    for r in overlay.collect():
+        want.setdefault(r.line_id, []).append((r.seq, r.x_pixel, r.y_pixel))
+    got = {}
+    for r in mapping.line_chunks(overlay, chunk_points=7).collect():
+        got.setdefault(r.line_id, {})[r.chunk] = [tuple(p) for p in r.points]
+    for k, points in want.items():
+        chunks = [got[k][i] for i in range(len(got[k]))]
+        assert [len(c) for c in chunks[:-1]] == [7] * (len(chunks) - 1)
+        assert sum(chunks, []) == sorted(points)
+    assert mapping.line_chunks(overlay.limit(0)).collect() == []
+
+
+def test_density_sums_do_not_depend_on_order(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(x), float(y), float(v)) for x, y, v in zip(rng.integers(0, 40, 3000), rng.integers(0, 40, 3000), rng.normal(size=3000) * 10.0 ** rng.integers(-3, 6, 3000))]
+    rows += [(1.0, 1.0, math.nan), (1.0, 1.0, None), (1.0, 1.0, math.inf)]
+    df = spark.createDataFrame(rows, "x_pixel double, y_pixel double, v double")
+    runs = [sorted(map(tuple, density.grid_cells(df.repartition(n), value_col="v", size=40, resolution=16).collect())) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2]
+    assert sum(z for _, _, z in runs[0]) == pytest.approx(sum(round(v, 6) for _, _, v in rows[:-3]), rel=1e-9)
+
+
 def test_line_overlay_order(spark):
     rows = [(1, 2, 40.71, -74.0), (1, 1, 40.70, -74.01), (1, 3, 40.72, -73.99), (2, 1, 40.80, -73.9), (2, 2, 40.81, -73.95)]
     df = spark.createDataFrame(rows, "line_id int, seq int, latitude double, longitude double")
