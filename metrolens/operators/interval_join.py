@@ -44,6 +44,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 DEFAULT_RANGES: tuple[tuple[str, str], ...] = (("R_LOW_HN", "R_HIGH_HN"), ("L_LOW_HN", "L_HIGH_HN"))
 SEGMENT_GROUP_COLS: tuple[str, ...] = ("PHYSICALID", "L_LOW_HN", "L_HIGH_HN", "R_LOW_HN", "R_HIGH_HN",
                                        "ST_LABEL", "the_geom")
@@ -112,7 +114,7 @@ def _level_widths(bin_width: int, fanout: int, max_value: int = 2**31) -> list[i
     return widths
 
 
-BIN_ROW_BYTES = 128  # generous bound for one (segment key, level, bin) row in a hashed relation
+BIN_ROW_BYTES = 96  # of a (segment key, level, bin) row in a hashed relation, beside the text of its key
 
 
 def _threshold_bytes(spark) -> int:
@@ -124,9 +126,9 @@ def _threshold_bytes(spark) -> int:
     return int(m.group(1)) * 1024 ** " kmgt".index(m.group(2) or " ")
 
 
-def _broadcast_fits(spark, rows: int) -> bool:
+def _broadcast_fits(spark, size: int) -> bool:
     limit = _threshold_bytes(spark)
-    return limit >= 0 and rows * BIN_ROW_BYTES <= limit
+    return limit >= 0 and size <= limit
 
 
 def _q(name: str) -> str:
@@ -178,18 +180,20 @@ def match_cells(cells: DataFrame, segments: DataFrame, key_cols: Sequence[str],
     seg = segments.select(*key_cols).distinct()
     seg = seg.select(*key_cols, F.expr(level_sql).cast("int").alias("_lvl"))
     # One small job over the segment keys returns, per level in use, an upper
-    # bound of its bin rows (at most len(widths) rows reach the driver). The
-    # levels decide how often each ticket cell is listed; the bin-row count
-    # decides the join strategy below, because no size estimate (static or
-    # AQE's, which is measured before the explode) sees the exploded rows.
+    # bound of the bytes of its bin rows, from the keys' measured lengths (at
+    # most len(widths) rows reach the driver). The levels decide how often
+    # each ticket cell is listed; the bytes decide the join strategy below,
+    # because no size estimate (static or AQE's, which is measured before the
+    # explode) sees the exploded rows.
     n_sql = f"element_at(transform({widths_sql}, w -> {' + '.join(counts)}), _lvl)"
+    bytes_sql = " + ".join([str(BIN_ROW_BYTES), *[f"coalesce(octet_length(cast({_q(c)} as string)), 0)" for c in key_cols]])
     stats = (seg.where(F.col("_lvl").isNotNull()).groupBy("_lvl")
-                .agg(F.sum(F.expr(n_sql)).alias("_rows")).collect())
+                .agg(F.sum(F.expr(f"({n_sql}) * ({bytes_sql})")).alias("_bytes")).collect())
     used = sorted(r["_lvl"] for r in stats) or [1]
-    bin_rows = sum(int(r["_rows"]) for r in stats)
+    bin_bytes = sum(int(r["_bytes"]) for r in stats)
     seg = seg.select(*key_cols, "_lvl", F.expr(f"element_at({widths_sql}, _lvl)").alias("_w"))
     seg_bins = seg.select(*key_cols, "_lvl", F.explode(F.expr(bins_sql)).alias("_bin"))
-    if _broadcast_fits(segments.sparkSession, bin_rows):
+    if _broadcast_fits(segments.sparkSession, bin_bytes):
         seg_bins = F.broadcast(seg_bins)          # size checked just above
     else:
         seg_bins = seg_bins.hint("merge")         # shuffle both sides on (street, level, bin)
@@ -215,15 +219,17 @@ def tickets_per_segment(tickets: DataFrame, segments: DataFrame, *, by: Sequence
     Returns ``segment_cols + by + [count_col]``; segments without a match
     are absent (inner join semantics).
     """
-    segs = typed_segments(segments, ranges)
+    # Segments are read once: distinct typed rows and how often each occurs are written to the shared
+    # folder, from which the bins, their statistics and the final join are taken.
+    checkpoint_root(segments.sparkSession)
+    full = typed_segments(segments, ranges).groupBy(*segment_cols).agg(F.count(F.lit(1)).alias("_mult")).checkpoint(eager=True)
     key_cols = [c for c in segment_cols if c not in payload_cols]
     cells = ticket_cells(tickets, street_col, number_col, by)
-    matched = match_cells(cells, segs, key_cols, label_col=label_col, ranges=ranges,
+    matched = match_cells(cells, full, key_cols, label_col=label_col, ranges=ranges,
                           bin_width=bin_width, max_bins=max_bins)
     counts = matched.groupBy(*key_cols, *by).agg(F.sum("_n").alias("_cnt")).where(F.col("_cnt") > 0)
     counts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in key_cols], *by, "_cnt")
 
-    full = segs.groupBy(*segment_cols).agg(F.count(F.lit(1)).alias("_mult"))
     cond = None
     for k in key_cols:
         c = full[k].eqNullSafe(counts[f"_k_{k}"])

@@ -92,14 +92,19 @@ def pickup_clusters_job(spark: SparkSession, trips_path: str, out_path: str, sam
     sinks.write_csv(ml.cluster_export(out), out_path, header=True)
 
 
-def fare_regression_job(spark: SparkSession, trips_path: str, kind: str = "distance", seed: int = 7,
+def fare_regression_job(spark: SparkSession, trips_path: str, out_path: str | None = None, kind: str = "distance", seed: int = 7,
                         sample_fraction: float | None = None) -> DataFrame:
-    """Returns the one-row metrics frame (coefficients, test and train RMSE / explained variance)."""
+    """The one-row metrics frame (coefficients, test and train RMSE / explained variance), also written as CSV
+    to ``out_path`` if given (coefficients joined by commas)."""
     t = readers.read_csv(spark, trips_path, schemas.TAXI_TRIPS)
     fn = {"distance": ml.fare_regression_distance, "buckets": ml.fare_regression_buckets,
           "clusters": ml.fare_regression_clusters}[kind]
     r = fn(t, seed=seed, sample_fraction=sample_fraction)
-    return ml.fit_summary(r.model, r.metrics)
+    summary = ml.fit_summary(r.model, r.metrics)
+    if out_path:
+        joined = F.array_join(F.transform("coefficients", lambda c: c.cast("string")), ",")
+        sinks.write_csv(summary.withColumn("coefficients", joined), out_path, header=True)
+    return summary
 
 
 def distance_fare_export_job(spark: SparkSession, trips_path: str, out_path: str) -> None:
@@ -157,6 +162,7 @@ JOBS = {
     "monthly-trips": (monthly_trips_job, ["trips", "out"]),
     "midnight-trips": (midnight_trips_job, ["trips", "out"]),
     "pickup-clusters": (pickup_clusters_job, ["trips", "out"]),
+    "fare-regression": (fare_regression_job, ["trips", "out"]),
     "distance-fare-export": (distance_fare_export_job, ["trips", "out"]),
     "bike-clean": (bike_clean_job, ["bikes", "out"]),
     "geocode": (geocode_job, ["bikes", "addresses", "out"]),

@@ -447,3 +447,10 @@ select cast(len([x for x in c if x <= l_extendedprice]) as double) as l_extended
        min(l_extendedprice) as lo, max(l_extendedprice) as hi
 from lineitem, k group by 1""",
 }
+
+ORACLES["street_collection"] = ORACLES["street_points"]
+ORACLES["meters_mixed_headers"] = """
+select cast(s_suppkey as varchar) as meter_no,
+       'POINT (' || cast(cast(round(s_acctbal * 100) as bigint) as varchar) || case when s_nationkey = 0 then '' else ' ' || cast(s_nationkey as varchar) end || ')' as wkt,
+       case when s_suppkey % 2 = 1 then 'p' || cast(s_suppkey as varchar) end as pole
+from supplier"""

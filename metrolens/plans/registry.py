@@ -304,6 +304,26 @@ def q_street_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pts.select("feature_id", "point_index", *_round(["x", "y"]))
 
 
+@register("street_collection")
+def q_street_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FeatureCollection documents written by Spark and read back by byte ranges, first line flattened to points."""
+    path = scratch_path(spark, "streets-collection")
+    geojson.write_collections(syn.street_features_from_lineitem(spark, sf_dir), path)
+    pts = geojson.first_line_points(geojson.read_collection(spark, path))
+    return pts.select("feature_id", "point_index", *_round(["x", "y"]))
+
+
+@register("meters_mixed_headers")
+def q_meters_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + K1: meter files whose columns stand in another order (and one more column) in half of them, read as one table by name."""
+    path = scratch_path(spark, "meter-files")
+    m = syn.meters_from_supplier(spark, sf_dir).withColumn("pole", F.concat(F.lit("p"), F.col("MeterNo")))
+    odd = F.col("MeterNo").cast("long") % 2 == 1
+    sinks.write_csv(m.where(odd).select("the_geom", "pole", "MeterNo"), f"{path}/a", header=True)
+    sinks.write_csv(m.where(~odd).select("MeterNo", "the_geom"), f"{path}/b", header=True)
+    return readers.load_parking_meters(spark, f"{path}/*").select(F.col("MeterNo").alias("meter_no"), F.col("the_geom").alias("wkt"), "pole")
+
+
 # ---------------------------------------------------------------- ML
 
 

@@ -8,6 +8,7 @@ parsed columns to those the plan uses.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,27 @@ def read_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
     return raw.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def read_csv_by_header(spark: SparkSession, path: str) -> DataFrame:
+    """Headered CSV files as one table of text columns, also where the files' headers differ.
+
+    The first line of each file is read first (a row a file for the driver, which lists the files anyhow); files of the same header
+    make one reader, and the readers are joined by column name. A column that a file lacks is NULL there.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("at"))
+    first = lines.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in sorted(first.collect()):
+        groups.setdefault(r["header"], []).append(r["file"])
+    if not groups:
+        return spark.read.option("header", True).csv(path)
+    out = None
+    for _, files in sorted(groups.items(), key=lambda g: g[1]):
+        part = spark.read.option("header", True).option("enforceSchema", False).csv([unquote(f) for f in files])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def load_parking_tickets(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     """S3: the seven ticket columns, renamed to camel case."""
     raw = read_csv(spark, path, schemas.PARKING_TICKETS_RAW, infer=infer)
@@ -73,8 +95,8 @@ def load_street_segments(spark: SparkSession, path: str, infer: bool = False) ->
 
 
 def load_parking_meters(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """The meter file with all its columns, as text (no inference pass unless ``infer``)."""
-    df = read_csv(spark, path, None, infer=infer)
+    """The meter files with all their columns, as text (types only with ``infer``, for files of one header); columns are found by name in every file."""
+    df = read_csv(spark, path, None, infer=True) if infer else read_csv_by_header(spark, path)
     missing = [c for c in schemas.PARKING_METERS.fieldNames() if c not in df.columns]
     if missing:
         raise ValueError(f"meter file at {path} lacks columns {missing}")
