@@ -6,7 +6,7 @@ import sys
 import types
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from metrolens.session import checkpoint_root, scratch_path
@@ -48,6 +48,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """``settled`` and its number of rows, counted while it is written."""
+    seen = Observation()
+    out = settled(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, seen.get["n"]
+
+
 def numbered(df: DataFrame, name: str = "uid") -> DataFrame:
     """``df`` with a row id ``name``, written once to the shared checkpoint folder and read from there. An id made anew in
     a second scan names other rows if the files are split anew, as they are when the number of cores changes."""

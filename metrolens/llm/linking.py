@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import settled
+from metrolens.llm.common import settled, settled_count
 
 #: Hub rounds go on while the untested pairs number more than this for each node in shared buckets.
 PAIRS_PER_NODE = 4
@@ -25,17 +25,19 @@ HUBS = 3
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in ``edges`` (a, b): component is the smallest node reachable."""
     both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                     .select("node", F.least("node", "m").alias("component")))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component"))
+    labels = settled(labels)
     while True:
         heard = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
                  .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard")))
         lower = labels.join(heard, "node").select("node", "component", F.least("component", "heard").alias("lower"))
         jump = labels.select(F.col("node").alias("lower"), F.col("component").alias("beyond"))
-        step = settled(lower.join(jump, "lower").select("node", F.least("lower", "beyond").alias("component"),
-                                                        (F.least("lower", "beyond") != F.col("component")).alias("moved")))
+        step = lower.join(jump, "lower").select("node", F.least("lower", "beyond").alias("component"),
+                                                (F.least("lower", "beyond") != F.col("component")).alias("moved"))
+        seen = Observation()
+        step = settled(step.observe(seen, F.count(F.when(F.col("moved"), 1)).alias("moved")))
         labels = step.select("node", "component")
-        if step.filter("moved").isEmpty():
+        if not seen.get["moved"]:
             return labels
 
 
@@ -64,8 +66,9 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
             now = live.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         per = now.groupBy("k", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("k").agg(
             ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
-        open_ = settled(per.filter("pairs > 0"))
-        left = open_.agg(F.sum("pairs").alias("p")).first()["p"] or 0
+        seen = Observation()
+        open_ = settled(per.filter("pairs > 0").observe(seen, F.sum("pairs").alias("pairs")))
+        left = seen.get["pairs"] or 0
         if not left:
             break
         now = settled(now.join(open_.select("k"), "k", "left_semi").join(details, "node").select("k", "node", "comp", *extras))
@@ -88,12 +91,12 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        idle = pairs.isEmpty()
+        pairs, n = settled_count(pairs)
+        idle = not n
         if not idle:
-            found = settled(check(pairs).select("a", "b"))
-            tested = pairs if tested is None else settled(tested.union(pairs))
-            idle = found.isEmpty()
+            found, n = settled_count(check(pairs).select("a", "b"))
+            tested = pairs if tested is None else tested.union(pairs)  # written already
+            idle = not n
             if not idle:
                 edges = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
                 labels = components(edges)

@@ -205,8 +205,7 @@ def groups_of_rows(rows: DataFrame) -> DataFrame:
     live = shared_buckets(classes.select(F.explode("bands").alias("k"), "node"))
     who = settled(live.select("node").distinct())
     known = settled(classes.join(broadcast_if_small(who, 24), "node", "left_semi")
-                    .select("uid", "node", "size", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)],
-                            *[F.col("bitmap")[i].alias(f"m{i}") for i in range(BITMAP)],
+                    .select("uid", "node", "size", "sketch", "bitmap",
                             sum(F.bit_count(F.col("bitmap")[i]) for i in range(BITMAP)).alias("bits")))
     texts = settled(rows.select("uid", "text").join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
 
@@ -216,10 +215,10 @@ def groups_of_rows(rows: DataFrame) -> DataFrame:
     def alike(x: str, y: str) -> Column:
         differ = 0
         for i in range(SKETCH):
-            d = F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))
+            d = F.get(f"{x}.sketch", F.lit(i)).bitwiseXOR(F.get(f"{y}.sketch", F.lit(i)))
             d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
             differ += F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseAND(F.lit(0x1111111111111111)))
-        common = sum(F.bit_count(F.col(f"{x}.m{i}").bitwiseAND(F.col(f"{y}.m{i}"))) for i in range(BITMAP))
+        common = sum(F.bit_count(F.get(f"{x}.bitmap", F.lit(i)).bitwiseAND(F.get(f"{y}.bitmap", F.lit(i)))) for i in range(BITMAP))
         most = common + F.least(F.col(f"{x}.size") - F.col(f"{x}.bits"), F.col(f"{y}.size") - F.col(f"{y}.bits"))
         may_link = 100 * most >= THRESHOLD * (F.col(f"{x}.size") + F.col(f"{y}.size") - most)
         return may_link & (differ <= 2 * PERMUTATIONS - AGREE)
