@@ -6,7 +6,9 @@ b ~ U(0, 1), drawn from a hash of the term; t = floor(ln w / r + b), ln a = ln c
 (term, t) of least ln a. Two documents' samples agree with probability sum(min w) / sum(max w), the generalised
 Jaccard similarity; the share of equal samples estimates it (standard deviation at most 0.5 / sqrt(SAMPLES)).
 
-Gamma(2, 1) draws are taken from a table of its quantiles at GAMMA_STEPS equal steps, b from 20 bits of the hash. A
+Gamma(2, 1) draws are taken from a table of its quantiles at GAMMA_STEPS equal steps, b from 20 bits of the hash. The steps
+that decide the least of many terms, the last one of r and the first one of c, are drawn exactly from 32 bits of a second hash each:
+otherwise long texts would look less alike than they are. A
 sample is kept as its ln a: equal (term, t) give equal values, others agree by chance once in some 2^30 draws.
 
 Layout: rows are dealt to cells, contiguous ranges of doc_id, by one shuffle; the first row of a cell is also sent
@@ -47,14 +49,35 @@ def gamma_quantiles(steps: int = GAMMA_STEPS) -> list[float]:
     return out
 
 
+def greatest_gamma(u: Column) -> Column:
+    """Gamma(2, 1) where its upper probability is u / GAMMA_STEPS: solves (1 + x) exp(-x) = u / GAMMA_STEPS by iteration, whose
+    error falls tenfold a step."""
+    high = math.log(GAMMA_STEPS) - F.log(u)
+    x = high + F.log(1 + high)
+    for _ in range(5):
+        x = high + F.log(1 + x)
+    return x
+
+
+def least_gamma(u: Column) -> Column:
+    """Gamma(2, 1) where its lower probability is u / GAMMA_STEPS: the inverse series of x * x / 2 - x ** 3 / 3 + x ** 4 / 8."""
+    s = F.sqrt(u * (2 / GAMMA_STEPS))
+    return s * (1 + s * (1 / 3 + s * (11 / 72)))
+
+
 def sample_value(k: int) -> Column:
     """ln a of sample k in a row (term long, lnw double, the tables gamma, rate and log_gamma)."""
     h = F.xxhash64(F.col("term").bitwiseXOR(F.lit(SALTS[k])))
-    bits = lambda at, n: F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << n) - 1))
-    r_at = bits(0, 10).cast("int")
+    finer = F.xxhash64(F.col("term").bitwiseXOR(F.lit(SALTS[k])), F.lit(1))  # only in the end steps
+    bits = lambda at, n, of=h: F.shiftrightunsigned(of, at).bitwiseAND(F.lit((1 << n) - 1))
+    share = lambda at: (bits(at, 32, finer) + 0.5) * (1 / (1 << 32))
+    r_at, c_at = bits(0, 10).cast("int"), bits(10, 10).cast("int")
     b = bits(20, 20) * F.lit(1 / (1 << 20))
-    t = F.when(F.col("lnw") == 0.0, F.lit(0.0)).otherwise(F.floor(F.col("lnw") * F.get("rate", r_at) + b).cast("double"))
-    return F.get("log_gamma", bits(10, 10).cast("int")) + F.get("gamma", r_at) * (b - 1.0 - t)
+    last = r_at == GAMMA_STEPS - 1
+    ratio = F.when(last, F.col("lnw") / greatest_gamma(share(0))).otherwise(F.col("lnw") * F.get("rate", r_at))
+    t = F.when(F.col("lnw") == 0.0, F.lit(0.0)).otherwise(F.floor(ratio + b).cast("double"))
+    log_c = F.when(c_at == 0, F.log(least_gamma(share(32)))).otherwise(F.get("log_gamma", c_at))
+    return log_c + F.when(last, greatest_gamma(share(0))).otherwise(F.get("gamma", r_at)) * (b - 1.0 - t)
 
 
 def cell_bounds(ids: DataFrame, rows: int) -> list[int]:
