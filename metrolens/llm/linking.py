@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import settled, settled_count
+from metrolens.llm.common import written, written_count
 
 #: Hub rounds go on while the untested pairs number more than this for each node in shared buckets.
 PAIRS_PER_NODE = 4
@@ -24,9 +24,9 @@ HUBS = 3
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in ``edges`` (a, b): component is the smallest node reachable."""
-    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component"))
-    labels = settled(labels)
+    labels = written(labels)
     while True:
         heard = (both.join(labels.select(F.col("node").alias("b"), "component"), "b")
                  .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard")))
@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         step = lower.join(jump, "lower").select("node", F.least("lower", "beyond").alias("component"),
                                                 (F.least("lower", "beyond") != F.col("component")).alias("moved"))
         seen = Observation()
-        step = settled(step.observe(seen, F.count(F.when(F.col("moved"), 1)).alias("moved")))
+        step = written(step.observe(seen, F.count(F.when(F.col("moved"), 1)).alias("moved")))
         labels = step.select("node", "component")
         if not seen.get["moved"]:
             return labels
@@ -44,12 +44,12 @@ def components(edges: DataFrame) -> DataFrame:
 def shared_buckets(entries: DataFrame) -> DataFrame:
     """The entries whose bucket holds at least two."""
     many = entries.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
-    return settled(entries.join(many, "k", "left_semi"))
+    return written(entries.join(many, "k", "left_semi"))
 
 
 def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column],
          sketches: DataFrame | None = None, alike: Callable[[str, str], Column] | None = None) -> DataFrame | None:
-    """Groups of the nodes in ``live`` (k, node), a settled frame of shared buckets.
+    """Groups of the nodes in ``live`` (k, node), a written frame of shared buckets.
 
     ``check`` returns the rows of pairs (a, b) that are linked. ``may(x, y)`` is a cheap condition that linked pairs
     meet, on the columns of ``details`` (node, ...) of two aliased rows; ``alike`` is a further one on the wide rows
@@ -67,11 +67,11 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         per = now.groupBy("k", "comp").agg(F.count(F.lit(1)).cast("double").alias("m")).groupBy("k").agg(
             ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"))
         seen = Observation()
-        open_ = settled(per.filter("pairs > 0").observe(seen, F.sum("pairs").alias("pairs")))
+        open_ = written(per.filter("pairs > 0").observe(seen, F.sum("pairs").alias("pairs")))
         left = seen.get["pairs"] or 0
         if not left:
             break
-        now = settled(now.join(open_.select("k"), "k", "left_semi").join(details, "node").select("k", "node", "comp", *extras))
+        now = written(now.join(open_.select("k"), "k", "left_semi").join(details, "node").select("k", "node", "comp", *extras))
         final = left <= PAIRS_PER_NODE * nodes or turn == MAX_ROUNDS or idle
         x = now.alias("x")
         if final:
@@ -91,10 +91,10 @@ def link(live: DataFrame, details: DataFrame, check: Callable[[DataFrame], DataF
         pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs, n = settled_count(pairs)
+        pairs, n = written_count(pairs)
         idle = not n
         if not idle:
-            found, n = settled_count(check(pairs).select("a", "b"))
+            found, n = written_count(check(pairs).select("a", "b"))
             tested = pairs if tested is None else tested.union(pairs)  # written already
             idle = not n
             if not idle:
