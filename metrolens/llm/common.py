@@ -48,19 +48,19 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder. For frames made again and again from themselves: a checkpoint
-    keeps the planner's size estimate, a product over all joins so far whose digits grow exponentially with the rounds, while
-    a table has its real size."""
+def written(df: DataFrame, files: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder, in at most ``files`` files if given. For frames made again and
+    again from themselves: a checkpoint keeps the planner's size estimate, a product over all joins so far whose digits
+    grow exponentially with the rounds, while a table has its real size."""
     path = scratch_path(df.sparkSession, "written")
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written_count(df: DataFrame) -> tuple[DataFrame, int]:
+def written_count(df: DataFrame, files: int | None = None) -> tuple[DataFrame, int]:
     """``written`` and its number of rows, counted while it is written."""
     seen = Observation()
-    out = written(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("n")), files)
     return out, seen.get["n"]
 
 
