@@ -21,7 +21,6 @@ ignored. Very long texts are aligned whole, in the memory of one task.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from collections.abc import Iterator
 
@@ -32,46 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metrolens.llm.common import process_cache, settled, ship, text_rows
-from metrolens.llm.tokens import encoder
+from metrolens.llm.tokens import byte_letters, encoder
 
 ship(__name__)
 
-#: Fixed value: the split pattern of byte-level vocabularies.
-BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORDS = re.compile(" +[^ ]*").findall
 MEMO_WORDS = 600_000  # kept per worker, about 200 bytes each
 LANE = 256  # A tokens
 CHUNK = 2 << 20  # characters
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: visible Latin-1 as it is, the others from U+0100 on."""
-    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-class RankEncoder:
-    """Ids of a byte-level vocabulary by the tiktoken library, for texts of visible Latin-1 and ASCII white space: there both libraries know
-    the same letters, digits and spaces. None if the vocabulary is not one of ranks."""
-
-    def __init__(self, spec: dict, names: list[bytes], letters: dict[str, int]):
-        import tiktoken
-
-        merges = [x if isinstance(x, list) else x.split(" ") for x in spec["model"]["merges"]]
-        self.fits = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]").search
-        joined = [bytes(map(letters.__getitem__, "".join(x))) for x in merges]
-        pre = spec.get("pre_tokenizer") or {}
-        split = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer")
-        self.core = None
-        if split and sorted(names[:256]) == [bytes([i]) for i in range(256)] and names[256:256 + len(joined)] == joined:
-            ranks = {name: i for i, name in enumerate(names[:256 + len(joined)])}
-            self.core = tiktoken.Encoding("ranks", pat_str=BYTE_SPLIT, mergeable_ranks=ranks, special_tokens={})
-
-    def ids(self, text: str) -> np.ndarray | None:
-        return None if self.core is None or self.fits(text) else np.asarray(self.core.encode_ordinary(text), np.int64)
-
-
 class Spelling:
     """Ids of texts and the bytes of each id, of both tokenizers."""
 
@@ -84,7 +53,6 @@ class Spelling:
         self.a_bytes = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.a_bytes[i] = bytes(map(letters.__getitem__, name)) if all(c in letters for c in name) else name.encode()
-        self.ranks = RankEncoder(json.loads(self.a.tok.to_str()), self.a_bytes, letters)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self.piece(i) for i in range(self.b.vocab_size())]
         # No piece holds a space behind another character: words (with the spaces before them) are then merged apart.
@@ -100,11 +68,8 @@ class Spelling:
         return bytes([int(name[3:-1], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode()
 
     def a_ids(self, texts: list[str]) -> list[np.ndarray]:
-        out = [self.ranks.ids(" " + t) if t else np.empty(0, np.int64) for t in texts]
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self.a.all_ids([" " + texts[k] for k in rest])):
-            out[k] = ids.astype(np.int64)
-        return out
+        whole = iter(self.a.all_ids([" " + t for t in texts if t]))
+        return [next(whole).astype(np.int64) if t else np.empty(0, np.int64) for t in texts]
 
     def b_ids(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:

@@ -3,7 +3,8 @@
 A text is cut where the tokenizer's own pre-tokenisation always cuts, each distinct piece is encoded once by the
 library and its ids are kept; a text's ids are the joined ids of its pieces. Texts with characters for which the
 cut isn't certain (apostrophes, letters beyond Latin-1, odd white space) are encoded whole, so results always equal
-the library's. So are texts that hold the string of an added token (such as an end mark), in either case of letters:
+the library's. Where a vocabulary's ids are the ranks of its merges, the tiktoken library encodes faster: whole texts of visible
+Latin-1 for byte-level vocabularies, new words for the lower-case one. So are texts that hold the string of an added token (such as an end mark), in either case of letters:
 the library gives its id, as in a plain ``encode``. A ``TextEncoder`` made with ``special=False`` takes special tokens
 inside a text as ordinary text.
 """
@@ -26,12 +27,37 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 OTHERS = "!-&(-@[-`{-~"  # visible ASCII but letters and the apostrophe
 #: Fixed value: the split pattern of the lower-case word vocabulary.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value: the split pattern of byte-level vocabularies.
+BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces kept per worker and tokenizer; beyond it the memo starts anew. About 250 bytes each.
 MEMO_PIECES = 800_000
 LEARN_PIECES = 4096  # encoded together
 PORTION = 1 << 20
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: visible Latin-1 as it is, the others from U+0100 on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def rank_encoder(spec: dict, vocab: dict[str, int], split: str, end: str = ""):
+    """The tiktoken library's encoder of a byte-level vocabulary whose ids are the ranks of its merges, else None. If a word's last letter
+    bears the mark ``end``, the byte 0 stands for it: its merges with a letter come before all others."""
+    import tiktoken
+
+    letters = byte_letters()
+    merges = [x if isinstance(x, list) else x.split(" ") for x in spec["model"]["merges"]]
+    names = [*letters, *(x + end for x in letters if end)]
+    ids = {vocab.get(x, -1) for x in names}
+    if ids != set(range(len(names))) or any(vocab.get(x + y) != i for i, (x, y) in enumerate(merges, len(names))):
+        return None
+    names += [x + y for x, y in merges]
+    spelled = lambda x: bytes(map(letters.__getitem__, x.removesuffix(end))) + (b"\0" if end and x.endswith(end) else b"")
+    return tiktoken.Encoding("ranks", pat_str=split, mergeable_ranks={spelled(x): vocab[x] for x in names}, special_tokens={})
+
+
 class _Memo(dict):
     """piece -> its ids as bytes; a missing piece is encoded and kept."""
 
@@ -61,14 +87,22 @@ class TextEncoder:
         added = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if special or not t["special"]]
         self.spelled = None
         self.marked = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
+        # What a marked text holds for certain: the first two characters of each added token, where none has two cases.
+        starts = {x["content"][:2] for x in spec.get("added_tokens") or [] if special or not x["special"]}
+        self.starts = starts if all(x.upper() == x.lower() for x in starts) else {""}
         kind = self._kind(spec)
         self.lower = kind == "words"
+        self.ranks, self.fits = None, lambda text: False
         if kind == "words":  # lower-cases, drops white space
             self.find = re.compile(f"[{LETTERS}]+|[{OTHERS}]+").findall
             self.odd = re.compile(f"[^{LETTERS}{OTHERS} \n\t]").search
+            self.ranks = rank_encoder(spec, self.tok.get_vocab(), r"[^\x00]+\x00", "</w>")
         elif kind == "spaced":  # a space belongs to the piece after it
             self.find = re.compile(f" ?[{LETTERS}]+| ?[{OTHERS}]+|\n").findall
             self.odd = re.compile(f"[^{LETTERS}{OTHERS} \n]|[ \n][ \n]|[ \n]\\Z").search
+            self.ranks = rank_encoder(spec, self.tok.get_vocab(), BYTE_SPLIT)
+            strange = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]").search  # beyond it the libraries' classes of characters may differ
+            self.fits = lambda text: self.ranks is not None and not strange(text)
         else:
             self.find, self.odd = None, lambda text: True
 
@@ -85,20 +119,35 @@ class TextEncoder:
             return "words"
         return "whole"
 
+    def holds_added(self, text: str) -> bool:
+        return any(x in text for x in self.starts) and self.marked(text) is not None
+
     def ids(self, text: str) -> np.ndarray:
-        if self.odd(text) or self.marked(text):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
-        pieces = self.find(text.lower() if self.lower else text)
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), self.dtype)
+        return self.all_ids([text])[0]
 
     def all_ids(self, texts: list[str]) -> list[np.ndarray]:
-        """``ids`` of each text; pieces that the memo lacks are encoded together."""
-        cut = [None if self.odd(t) or self.marked(t) else self.find(t.lower() if self.lower else t) for t in texts]
-        if self.find:
-            self.learn(list({p for pieces in cut if pieces for p in pieces if p not in self.memo}))
-        take = self.memo.__getitem__
-        return [np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if pieces is None
-                else np.frombuffer(b"".join(map(take, pieces)), self.dtype) for t, pieces in zip(texts, cut)]
+        """The ids of each text; pieces that the memo lacks are encoded together."""
+        out, cut = [None] * len(texts), {}
+        for k, text in enumerate(texts):
+            if self.holds_added(text):
+                out[k] = np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
+            elif self.fits(text):
+                out[k] = np.array(self.ranks.encode_ordinary(text), self.dtype)
+            elif self.odd(text):
+                out[k] = np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype)
+            else:
+                cut[k] = self.find(text.lower() if self.lower else text)
+        if cut:
+            self.learn(list({p for pieces in cut.values() for p in pieces if p not in self.memo}))
+        for k, pieces in cut.items():
+            out[k] = np.frombuffer(b"".join(map(self.memo.__getitem__, pieces)), self.dtype)
+        return out
+
+    def together(self, pieces: list[str], mark: str) -> np.ndarray:
+        """The ids of ``pieces`` in order. Pieces of letters alone are words to both libraries."""
+        if self.lower and self.ranks is not None and "".join(pieces).isalpha():
+            return np.array(self.ranks.encode_ordinary("\0".join((*pieces, ""))), np.int64)
+        return np.array(self.tok.encode_batch_fast([mark.join((*pieces, ""))], add_special_tokens=False)[0].ids, np.int64)
 
     def learn(self, pieces: list[str]) -> None:
         """Keeps the ids of ``pieces``, encoded as one text in which a separator that the tokenizer always cuts at stands behind
@@ -108,12 +157,12 @@ class TextEncoder:
             for name, i in self.tok.get_vocab().items():
                 self.spelled[i] = len(name.removesuffix("</w>")) if self.lower else len(name)
         mark = " " if self.lower else "\n"
-        pieces = [p for p in pieces if p != mark]
+        pieces = sorted((p for p in pieces if p != mark), key=str.isalpha)
         for at in range(0, len(pieces), LEARN_PIECES):
             some = pieces[at:at + LEARN_PIECES]
             if len(self.memo) + len(some) > self.memo.cap:
                 self.memo.clear()
-            ids = np.array(self.tok.encode_batch_fast([mark.join((*some, ""))], add_special_tokens=False)[0].ids, np.int64)
+            ids = self.together(some, mark)
             ends = np.cumsum([(len(p) if p.isascii() else len(p.encode())) + (not self.lower) for p in some])
             reached = np.cumsum(self.spelled[ids])
             cuts = np.searchsorted(reached, ends)
