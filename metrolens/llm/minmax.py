@@ -205,7 +205,7 @@ def groups_of_rows(rows: DataFrame) -> DataFrame:
     live = shared_buckets(classes.select(F.explode("bands").alias("k"), "node"))
     who = settled(live.select("node").distinct())
     known = settled(classes.join(broadcast_if_small(who, 24), "node", "left_semi")
-                    .select("uid", "node", "size", "sketch", "bitmap",
+                    .select("uid", "node", "size", "sketch", "bitmap", "bands",
                             sum(F.bit_count(F.col("bitmap")[i]) for i in range(BITMAP)).alias("bits")))
     texts = settled(rows.select("uid", "text").join(broadcast_if_small(known.select("uid", "node"), 40), "uid").select("node", "text"))
 
@@ -221,7 +221,9 @@ def groups_of_rows(rows: DataFrame) -> DataFrame:
         common = sum(F.bit_count(F.get(f"{x}.bitmap", F.lit(i)).bitwiseAND(F.get(f"{y}.bitmap", F.lit(i)))) for i in range(BITMAP))
         most = common + F.least(F.col(f"{x}.size") - F.col(f"{x}.bits"), F.col(f"{y}.size") - F.col(f"{y}.bits"))
         may_link = 100 * most >= THRESHOLD * (F.col(f"{x}.size") + F.col(f"{y}.size") - most)
-        return may_link & (differ <= 2 * PERMUTATIONS - AGREE)
+        # A pair is given in one of its buckets: rows of different groups never share a bucket that is left behind.
+        once = F.col(f"{x}.k") == F.array_min(F.array_intersect(f"{x}.bands", f"{y}.bands"))
+        return may_link & (differ <= 2 * PERMUTATIONS - AGREE) & once
 
     labels = link(live, known.select("node", "size"), lambda pairs: confirmed(pairs, texts), may,
                   known.drop("uid", "size"), alike)
