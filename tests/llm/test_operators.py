@@ -311,6 +311,28 @@ def test_fuzzy_lines_finds_all_similar_pairs(spark):
     assert all(kept[i] for _, i in pairs) and not lost, lost
 
 
+def test_fuzzy_lines_finds_long_lines_whose_first_runs_differ(spark):
+    """The runs of most letters are all edited: 20 edits in 100 words leave only runs of short words in common."""
+    base = [f"{'extraordinarily' if i < 40 else 'w'}{i}" for i in range(100)]
+    other = [f"extraordinarilyother{i}" if i < 40 and i % 2 == 0 else w for i, w in enumerate(base)]
+    frame = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(base[::-1]))], "doc_id long, text string")
+    path = scratch_path(spark, "llm-long-lines")
+    frame.write.parquet(path)
+    assert {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(spark.read.parquet(path)).collect()} == {1: 1, 2: 0, 3: 1}
+
+
+def test_fuzzy_lines_finds_lines_with_far_simhashes(spark):
+    """Edits that repeat one word move the SimHash beyond MAX_BITS, at edit similarity 0.8."""
+    base = [f"word{i}" for i in range(80)]
+    path = scratch_path(spark, "llm-far-lines")
+    spark.createDataFrame([(1, " ".join(base + ["alpha"] * 20)), (2, " ".join(base + ["beta"] * 20)), (3, " ".join(base + ["gamma"] * 21))],
+                          "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    sims = {r.d: r.simhash for r in fuzzy_lines.occurrences(docs).collect()}
+    assert bin((sims[1] ^ sims[2]) & (2**64 - 1)).count("1") > fuzzy_lines.MAX_BITS
+    assert {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(docs).collect()} == {1: 1, 2: 0, 3: 1}
+
+
 def test_toxicity(spark, docs, none):
     rng = random.Random(6)
     rows, labels = [], []
