@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_path
 from . import cleaning
 from .quantiles import exact_cuts
 
@@ -64,16 +64,36 @@ def _fixed_point(col: str):
     return F.floor(F.col(col).cast("double") * K.COORDINATE_SCALE + 0.5)
 
 
-def _nearest(parts: list, centres: list[tuple]):
-    """Index of the nearest centre (squared distance; ties: the smaller index)."""
-    def away(centre):
-        terms = [(p.cast("double") - F.lit(float(c))) * (p.cast("double") - F.lit(float(c))) for p, c in zip(parts, centre)]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        return total
-    near = [F.struct(away(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
-    return (F.least(*near) if len(near) > 1 else near[0])["i"]
+_LIMB = 22  # bits
+
+
+def _limbs(whole) -> list:
+    """The three parts of a whole number, lowest first: their sums fit a long for 2^41 rows, where its own may not."""
+    low = F.lit((1 << _LIMB) - 1)
+    return [whole.bitwiseAND(low), F.shiftright(whole, _LIMB).bitwiseAND(low), F.shiftright(whole, 2 * _LIMB)]
+
+
+def _away(parts: list, centre: tuple):
+    """Squared distance, in doubles."""
+    terms = [(p.cast("double") - F.lit(float(c))) * (p.cast("double") - F.lit(float(c))) for p, c in zip(parts, centre)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total
+
+
+def _with_nearest(df: DataFrame, cols: list[str], centres: list[tuple], name: str) -> DataFrame:
+    """``df`` with the index of the nearest centre (squared distance; ties: the smaller index).
+
+    Distances, their least and the first that equals it are projections of plain doubles, with no struct a centre and
+    row. A filter on the outcome would be pushed below them and repeat them all: write the rows before it."""
+    ds = [f"{name}_d{i}" for i in range(len(centres))]
+    near = df.select("*", *[_away([F.col(c) for c in cols], centre).alias(d) for centre, d in zip(centres, ds)])
+    near = near.select("*", (F.least(*ds) if len(ds) > 1 else F.col(ds[0])).alias(f"{name}_least"))
+    first = F.lit(len(ds) - 1)
+    for i in range(len(ds) - 2, -1, -1):
+        first = F.when(F.col(ds[i]) == F.col(f"{name}_least"), i).otherwise(first)
+    return near.select(*[c for c in df.columns if c != name], first.alias(name))
 
 
 def repeatable_centres(df: DataFrame, input_cols: list[str], k: int = K.PICKUP_CLUSTERS, seed: int = K.KMEANS_SEED,
@@ -94,11 +114,13 @@ def repeatable_centres(df: DataFrame, input_cols: list[str], k: int = K.PICKUP_C
         centres = [tuple(float(r[n]) for n in names) for r in first]
         rows = [0] * len(centres)
         for _ in range(rounds if centres else 0):
-            sums = pts.groupBy(_nearest([F.col(n) for n in names], centres).alias("i")).agg(
-                F.count(F.lit(1)).alias("n"), *[F.sum(F.col(n).cast("decimal(20,0)")).cast("double").alias(n) for n in names]).collect()
+            near = _with_nearest(pts, names, centres, "i")
+            sums = near.groupBy("i").agg(F.count(F.lit(1)).alias("n"), *[F.sum(limb).alias(f"{n}_{j}") for n in names
+                                                                         for j, limb in enumerate(_limbs(F.col(n)))]).collect()
             moved, rows = list(centres), [0] * len(centres)
             for r in sums:
-                moved[r["i"]], rows[r["i"]] = tuple(r[n] / r["n"] for n in names), r["n"]
+                whole = (sum(r[f"{n}_{j}"] << (_LIMB * j) for j in range(3)) for n in names)
+                moved[r["i"]], rows[r["i"]] = tuple(float(x) / r["n"] for x in whole), r["n"]
             if moved == centres:
                 break
             centres = moved
@@ -113,12 +135,15 @@ def nearest_centre(df: DataFrame, input_cols: list[str], centres: DataFrame, pre
 
     The k centres (a table of ``repeatable_centres``) become literals, so this is a projection without join or shuffle.
     """
+    parts = [f"{prediction_col}_{i}" for i in range(len(input_cols))]
     places = [tuple(r[c] * K.COORDINATE_SCALE for c in input_cols) for r in centres.orderBy("cluster").collect()]  # k rows
-    whole = [_fixed_point(c) for c in input_cols]
-    usable = F.lit(bool(places))
+    if not places:
+        return df.withColumn(prediction_col, F.lit(None).cast("int"))
+    usable = F.lit(True)
     for c in input_cols:
         usable = usable & _usable(c)
-    return df.withColumn(prediction_col, F.when(usable, _nearest(whole, places) if places else F.lit(None).cast("int")))
+    near = _with_nearest(df.select("*", *[_fixed_point(c).alias(p) for c, p in zip(input_cols, parts)]), parts, places, prediction_col)
+    return near.withColumn(prediction_col, F.when(usable, F.col(prediction_col))).drop(*parts)
 
 
 def cluster_export(df: DataFrame, lat_col: str = "pickup_latitude", lon_col: str = "pickup_longitude",
@@ -173,14 +198,16 @@ def split(df: DataFrame, seed: int, weights=(0.8, 0.2), key_cols: list[str] | No
     The labeled rows are written once to the shared checkpoint folder
     (``spark.checkpoint.dir``), which cuts the lineage: both halves and every
     pass of the fit read the same rows, and a lost executor costs a re-read,
-    not a re-run of clustering or bucketing.
+    not a re-run of clustering or bucketing. With ``key_cols`` they are a table
+    that holds the half of each row, so that no pass hashes keys again.
     """
-    checkpoint_root(df.sparkSession)
-    kept = df.checkpoint(eager=True)
     if not key_cols:
-        return kept.randomSplit(list(weights), seed=seed)
-    first = key_share(key_cols, seed) < weights[0] / sum(weights)
-    return kept.where(first), kept.where(~first)
+        checkpoint_root(df.sparkSession)
+        return df.checkpoint(eager=True).randomSplit(list(weights), seed=seed)
+    half, path = "__first_half", scratch_path(df.sparkSession, "split")
+    df.withColumn(half, key_share(key_cols, seed) < weights[0] / sum(weights)).write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    return kept.where(half).drop(half), kept.where(~F.col(half)).drop(half)
 
 
 def fit_linear(train: DataFrame, fit_intercept: bool):
@@ -229,7 +256,9 @@ def fare_regression_clusters(trips: DataFrame, seed: int = 7, sample_fraction: f
     for cols, k, prediction in ((["pickup_latitude", "pickup_longitude"], pickup_k, "predction_pickup"),
                                 (["dropoff_latitude", "dropoff_longitude"], dropoff_k, "prediction_dropoff")):
         df = nearest_centre(df, cols, repeatable_centres(df, cols, k=k), prediction)
-    data = labeled(df, "fare_amount", ["predction_pickup", "prediction_dropoff"], key_cols)
+    columns, path = ["predction_pickup", "prediction_dropoff"], scratch_path(trips.sparkSession, "clusters")
+    df.select("fare_amount", *columns, *(key_cols or [])).write.parquet(path)  # ``labeled`` filters by cluster
+    data = labeled(trips.sparkSession.read.parquet(path), "fare_amount", columns, key_cols)
     return _train_and_score(data, fit_intercept=False, seed=seed, key_cols=key_cols)  # checkpoints the labeled rows
 
 

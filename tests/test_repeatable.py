@@ -85,6 +85,19 @@ def lloyd(points, k, rounds=10):
     return [(i, *[x / 1e6 for x in c], n) for i, (c, n) in enumerate(zip(centres, sizes))]
 
 
+def test_a_round_makes_no_struct_for_a_centre(spark):
+    """Distances are plain doubles; sums of whole numbers beyond a long's range are exact."""
+    far = [(2.0**42 + i, -(2.0**42) - i) for i in range(40)]
+    df = spark.createDataFrame(far, "x double, y double")
+    (row,) = ml.repeatable_centres(df, ["x", "y"], k=1).collect()
+    parts = [sum(int(v[j] * ml.K.COORDINATE_SCALE) for v in far) for j in range(2)]
+    assert max(map(abs, parts)) > 2**63
+    assert (row.x, row.y, row.rows) == (*(float(p) / 40 / ml.K.COORDINATE_SCALE for p in parts), 40)
+    near = ml._with_nearest(df, ["x", "y"], [(0.0, 0.0), (2.0**42, -(2.0**42)), (2.0**42, -(2.0**42))], "c")
+    assert {r.c for r in near.collect()} == {1}
+    assert "struct" not in near._jdf.queryExecution().toString().lower()
+
+
 def test_repeatable_centres_equal_lloyds_rounds(spark):
     rng = np.random.default_rng(3)
     points = [tuple(map(float, p)) for p in np.round(rng.normal(size=(300, 2)) + rng.integers(0, 4, 300)[:, None], 2)] + [(1.0, 1.0)] * 40
