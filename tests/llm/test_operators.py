@@ -268,6 +268,17 @@ def test_fuzzy_lines(spark, docs, none):
     assert fuzzy_lines.dedupe_lines(none).count() == 0
 
 
+def test_main_text_asks_the_host_about_doubtful_blocks_of_an_article(spark):
+    """A class name that only contains a boilerplate word: what the host repeats goes, what a page alone has stays."""
+    rng = random.Random(31)
+    box, prices = syllables(rng, 12), [syllables(rng, 12) for _ in range(4)]
+    bodies = [syllables(rng, 20) for _ in range(4)]
+    pages = [(i, f"http://a.org/{i}", f'<article><p>{body}</p><div class="newsletter-box">{box}</div><p class="share-price">{price}</p>'
+              f"<p>{bodies[0]}</p></article>", None, None) for i, (body, price) in enumerate(zip(bodies, prices))]
+    got = {r.page_id: r.text for r in main_text.main_text(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {i: f"{bodies[i]}\n{prices[i]}\n{bodies[0]}" for i in range(4)}
+
+
 def test_fuzzy_lines_joins_variants(spark):
     rng = random.Random(4)
     base = syllables(rng, 400).split()
