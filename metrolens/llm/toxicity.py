@@ -10,7 +10,8 @@ inflected forms share a stem. Features are screened by their document counts in
 
 Training data are bounded, documented samples: MAX_POSITIVE and MAX_UNLABELLED texts, chosen by the smallest hash of
 doc_id among rows of the training folds (crc32(doc_id) mod 3 is not 1); equal texts count once. The class prior is
-the toxic share of all training labels. Training runs in one task over that sample; scoring reads every whole text.
+the toxic share of all training labels. Features of the sample are found, counted and screened by Spark; training runs in
+one task over the numbers of the screened ones, without texts; scoring reads every whole text.
 
 Nulls: a null text is empty; empty texts get the score of a text without features. A null doc_id isn't held out and
 never matches a label; null labels teach nothing. Repeated rows are scored each. Without toxic training texts every
@@ -20,20 +21,21 @@ score is 0. An empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metrolens.llm.common import settled, ship, text_rows
+from metrolens.llm.common import settled, ship, text_rows, written
 
 ship(__name__)
 
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 MAX_FEATURES = 8192
+SAMPLE_TASKS = 24  # that find the features of the sample
+PORTION = 1 << 17  # features of a batch, so that no task holds those of many texts
 STEMS = (4, 5, 6)
 CLEAR, TIMES = 8, 5  # standard errors and ratio by which a feature must be more frequent in P than in clean text
 THRESHOLD = 0.7
@@ -46,38 +48,38 @@ def features(text: str) -> set[str]:
     return words.union(*({w[:n] for w in words if len(w) > n} for n in STEMS))
 
 
+def hits_batch(rows: list[tuple[int, bool, bool, pa.Array]]) -> pa.RecordBatch:
+    """Rows (id, p, u, features), one for each feature."""
+    times = [len(r[3]) for r in rows]
+    ids, p, u = (np.repeat(np.array(c, t), times) for c, t in zip(zip(*(r[:3] for r in rows)), (np.int64, bool, bool)))
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(p), pa.array(u), pa.concat_arrays([r[3] for r in rows])],
+                                      names=["row", "p", "u", "feature"])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def screened(positive: list[set], unlabelled: list[set], prior: float) -> list[str]:
-    """Features more frequent in P than in U by a clear margin, the clearest first."""
-    in_p, in_u = Counter(), Counter()
-    for f in positive:
-        in_p.update(f)
-    least = 2 if len(positive) < 100 else max(3, len(positive) // 500)
-    often = {f for f, n in in_p.items() if n >= least}
-    for f in unlabelled:
-        in_u.update(f & often)
-    score = {}
-    for f in often:
-        p, u = in_p[f] / len(positive), in_u[f] / max(1, len(unlabelled))
-        clean = max(0.0, (u - prior * p) / (1 - prior))  # U corrected for its toxic share
-        spread = (clean * (1 - clean) + 1 / (len(unlabelled) + 2)) / len(positive) + (u * (1 - u) + 1e-9) / max(1, len(unlabelled))
-        z = (p - clean) / spread**0.5
-        if z > CLEAR and p > TIMES * clean:
-            score[f] = z
-    return sorted(score, key=lambda f: (-score[f], f))[:MAX_FEATURES]
+def screened(counts: DataFrame, n_p: int, n_u: int, prior: float) -> list[str]:
+    """Of ``counts`` (feature, in_p, in_u): features more frequent in P than in U by a clear margin, the clearest first."""
+    least = 2 if n_p < 100 else max(3, n_p // 500)
+    p, u = F.col("in_p") / n_p, F.col("in_u") / n_u
+    shares = counts.filter((F.col("feature") != BIAS) & (F.col("in_p") >= least)).select("feature", p.alias("p"), u.alias("u"))
+    clean = F.greatest(F.lit(0.0), (F.col("u") - prior * F.col("p")) / (1 - prior))  # U corrected for its toxic share
+    shares = shares.withColumn("clean", clean)
+    spread = (F.col("clean") * (1 - F.col("clean")) + 1 / (n_u + 2)) / n_p + (F.col("u") * (1 - F.col("u")) + 1e-9) / n_u
+    clear = shares.select("feature", ((F.col("p") - F.col("clean")) / F.sqrt(spread)).alias("z"), (F.col("p") > TIMES * F.col("clean")).alias("often"))
+    best = clear.filter((F.col("z") > CLEAR) & F.col("often")).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
+    return [r["feature"] for r in best.select("feature").collect()]  # at most MAX_FEATURES
 
 
 class Sparse:
-    """Binary rows over the features; products in numpy."""
+    """``n`` binary rows over ``m`` features from their hits (row id, feature); rows without a hit come last. Products in numpy."""
 
-    def __init__(self, rows: list[set], index: dict[str, int]):
-        hits = [[index[f] for f in r if f in index] for r in rows]
-        self.n, self.m = len(rows), len(index)
-        self.row = np.repeat(np.arange(self.n), [len(h) for h in hits])
-        self.col = np.array([c for h in hits for c in h], np.int64)
+    def __init__(self, ids: np.ndarray, cols: np.ndarray, n: int, m: int):
+        order = np.lexsort((cols, ids))
+        self.n, self.m, self.col = n, m, cols[order].astype(np.int64)
+        self.row = np.unique(ids[order], return_inverse=True)[1]
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col], self.n)
@@ -86,14 +88,8 @@ class Sparse:
         return np.bincount(self.col, g[self.row], self.m)
 
 
-def train(positive: list[set], unlabelled: list[set], prior: float, steps: int = 600, rate: float = 0.05,
-          decay: float = 1e-5) -> dict[str, float]:
-    """Feature weights, the bias under BIAS; empty without positives."""
-    if not positive or not unlabelled:
-        return {}
-    names = screened(positive, unlabelled, prior)
-    index = {f: i for i, f in enumerate(names)}
-    p, u = Sparse(positive, index), Sparse(unlabelled, index)
+def train(p: Sparse, u: Sparse, names: list[str], prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5) -> dict[str, float]:
+    """Feature weights, the bias under BIAS."""
     w, b = np.zeros(len(names)), np.log(prior / (1 - prior))
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
@@ -142,23 +138,46 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     p = known.filter("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(max_positive).withColumn("p", F.lit(True))
     u = ids.distinct().orderBy(*order).limit(max_unlabelled).withColumn("u", F.lit(True))
     chosen = settled(p.join(u, "doc_id", "full"))  # at most max_positive + max_unlabelled rows
-    sample = settled(text_rows(docs).join(F.broadcast(chosen), "doc_id").select(
-        F.coalesce("p", F.lit(False)).alias("p"), F.coalesce("u", F.lit(False)).alias("u"), "text"))
+    kinds = [F.coalesce(c, F.lit(False)).alias(c) for c in ("p", "u")]
+    sample = settled(text_rows(docs).join(F.broadcast(chosen), "doc_id").select(*kinds, "text"))
+    # In the order of the sample, a row that is of one kind with the row before it of the same text does not count.
+    sample = sample.withColumn("row", F.monotonically_increasing_id()).repartition(SAMPLE_TASKS, "text")
+    before = F.lag(F.struct("p", "u")).over(Window.partitionBy("text").orderBy("row"))
+    sample = sample.withColumn("before", before).filter(~F.col("before").eqNullSafe(F.struct("p", "u")))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for row, is_p, is_u, text in zip(*batch.columns):
+                found = [BIAS, *features(text.as_py())]  # BIAS stands for the row itself
+                held.append((row.as_py(), is_p.as_py(), is_u.as_py(), pa.array(found, pa.string())))
+                size += len(found)
+                if size >= PORTION:
+                    yield hits_batch(held)
+                    held, size = [], 0
+            if held:
+                yield hits_batch(held)
+
+    hits = written(sample.select("row", "p", "u", "text").mapInArrow(spread, "row long, p boolean, u boolean, feature string"))
+    counts = hits.groupBy("feature").agg(F.count_if("p").alias("in_p"), F.count_if("u").alias("in_u"))
+    rows = counts.filter(F.col("feature") == BIAS).first()
+    n_p, n_u = (rows["in_p"], rows["in_u"]) if rows else (0, 0)
+    if not n_p or not n_u:
+        return {}
+    names = screened(counts, n_p, n_u, prior)
+    if not names:
+        nothing = np.zeros(0, np.int64)
+        return train(Sparse(nothing, nothing, n_p, 0), Sparse(nothing, nothing, n_u, 0), names, prior)
+    index = docs.sparkSession.createDataFrame(list(enumerate(names)), "col int, feature string")
+    places = hits.join(F.broadcast(index), "feature").select("row", "p", "u", "col").repartition(1)  # numbers alone, of the sample
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, positive, unlabelled = {}, [], []
-        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
-        for is_p, is_u, text in sorted(rows, key=lambda r: r[2]):
-            if seen.get(text) != (is_p, is_u):  # rows are sorted: equal texts of one kind count once
-                seen = {text: (is_p, is_u)}
-                f = features(text)
-                positive += [f] * is_p
-                unlabelled += [f] * is_u
-        model = train(positive, unlabelled, prior)
+        ids, is_p, is_u, cols = map(np.concatenate, zip(*([c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches)))
+        model = train(*(Sparse(ids[k], cols[k], n, len(names)) for k, n in ((is_p, n_p), (is_u, n_u))), names, prior)
         yield pa.RecordBatch.from_arrays([pa.array(list(model), pa.string()), pa.array(list(model.values()), pa.float64())],
                                          names=["feature", "weight"])
 
-    found = sample.coalesce(1).mapInArrow(learn, "feature string, weight double")  # one bounded task
+    found = places.mapInArrow(learn, "feature string, weight double")  # one bounded task
     return {r["feature"]: r["weight"] for r in settled(found).collect()}  # at most MAX_FEATURES + 1 rows
 
 

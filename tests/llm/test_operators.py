@@ -369,6 +369,28 @@ def test_toxicity(spark, docs, none):
     assert toxicity.fit(none, marks) == {} and {r.score for r in toxicity.scores(docs, {}).collect()} == {0.0}
 
 
+
+def test_toxicity_trains_on_numbers_of_screened_features_alone(spark, monkeypatch):
+    """Of long texts, the one training task gets neither the text nor the features that screening leaves out."""
+    rng = random.Random(16)
+    ids = [i for i in range(600) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, syllables(rng, 400) + " grobian" * (i % 5 == 0)) for i in ids]
+    labels = [(i, int(i % 5 == 0)) for i in ids]
+
+    def train(p, u, names, prior):
+        return {"p": p.n, "u": u.n, "p hits": len(p.col), "u hits": len(u.col), **dict.fromkeys(names, 0.0)}
+
+    monkeypatch.setattr(toxicity, "train", train)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = scratch_path(spark, "llm-tox-long")
+    frame.write.parquet(path)
+    got = toxicity.fit(spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    toxic = sum(t for _, t in labels)
+    assert got.pop("p") == toxic and got.pop("u") == len(ids)
+    assert set(got) == {"p hits", "u hits", "grob", "groba", "grobi", "grobia", "grobian"} - {"groba"}
+    assert got["p hits"] == got["u hits"] == 4 * toxic
+
+
 PAGE = ('<html><head><title>t</title><script>var a="<p>";</script></head><body><nav><ul><li>menu one two three</ul></nav>'
         '<div class="ad">buy &amp; go</div><article><h1>{t} &copy;</h1><p><b>first\n {t}.<br><p>second &lt;part&gt;'
         '<div class="comments"><p>reader says</div></article><footer>foot</footer>')
