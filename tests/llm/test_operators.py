@@ -4,6 +4,7 @@ empty tables, clashing extra columns."""
 import collections
 import hashlib
 import html
+import pathlib
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 from metrolens.llm import (chunk_dedup, cws, fuzzy_lines, main_text, minmax, mixing, packing, records, tokens, toxicity,
                            url_reputation)
 from metrolens.llm.queries import vocabulary
-from metrolens.session import scratch_path
+from metrolens.session import checkpoint_root, scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, TARGET long"
 PAGES = "page_id long, url string, html string, host string, verdict string"
@@ -344,6 +345,35 @@ def test_fuzzy_lines_finds_lines_with_far_simhashes(spark):
     assert {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(docs).collect()} == {1: 1, 2: 0, 3: 1}
 
 
+def test_fuzzy_lines_leaves_less_on_disk_than_it_reads(spark, monkeypatch):
+    """No copy of the rows, and no keys of lines, stay; many pairs are checked in portions."""
+    rng = random.Random(45)
+    monkeypatch.setattr(fuzzy_lines, "PAIRS_AT_ONCE", 1)
+    lines = [syllables(rng, 200) for _ in range(2500)]
+    texts = ["\n".join(lines[i:i + 10]) for i in range(0, 2500, 10)]
+    texts += [" ".join([*lines[i].split()[:-1], "other"]) for i in range(0, 40, 10)]
+    path = scratch_path(spark, "llm-line-disk")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(path)
+    root = pathlib.Path(checkpoint_root(spark).removeprefix("file:"))
+    size = lambda top: sum(f.stat().st_size for f in top.rglob("*.parquet"))
+    before = set(root.iterdir())
+    rows = fuzzy_lines.dedupe_lines(spark.read.parquet(path)).collect()
+    left = sum(size(x) for x in set(root.iterdir()) - before)
+    assert {r.doc_id: r.n_kept for r in rows} == {i: 10 if i < 250 else 0 for i in range(254)}
+    assert left < size(pathlib.Path(path.removeprefix("file:")))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_fuzzy_lines_simhash_is_the_majority_of_the_words(spark):
+    rng = random.Random(46)
+    frame = spark.createDataFrame([(n, syllables(rng, n)) for n in (1, 2, 127, 128, 254, 255, 700)], "doc_id long, text string")
+    hashes = {r.doc_id: r.h for r in frame.selectExpr("doc_id", "transform(split(text, ' '), x -> xxhash64(x)) h").collect()}
+    for r in fuzzy_lines.occurrences(frame).collect():
+        words = hashes[r.d]
+        assert r.size == len(words) == r.d
+        assert r.simhash % 2**64 == sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in words) > len(words))
+
+
 def test_toxicity(spark, docs, none):
     rng = random.Random(6)
     rows, labels = [], []
