@@ -530,3 +530,17 @@ def test_row_ids_survive_a_new_split_plan(spark, docs, monkeypatch, job):
 
     monkeypatch.setattr(F, "monotonically_increasing_id", other_ids)
     assert sorted(map(str, run().collect())) == want
+
+
+def test_fuzzy_lines_with_a_common_phrase_are_no_candidates(spark, monkeypatch):
+    """Long lines share a phrase of long words and no more: none is a candidate. Two of them are near copies."""
+    rng = random.Random(47)
+    phrase = "unsubscribefromthisnewsletter immediatelywithoutanyfurther notificationfromourcompany whatsoeverandindefinitely"
+    lines = [f"{syllables(rng, 50)} {phrase} {syllables(rng, 50)}" for _ in range(120)]
+    lines.append(" ".join([*lines[3].split()[:-2], "other", "end"]))
+    path, buckets, real = scratch_path(spark, "llm-phrases"), [], fuzzy_lines.link
+    spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").write.parquet(path)
+    monkeypatch.setattr(fuzzy_lines, "link", lambda live, *rest, **more: buckets.append(live.select("node").distinct().count()) or real(live, *rest, **more))
+    kept = {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(spark.read.parquet(path)).collect()}
+    assert kept == {i: int(i < 120) for i in range(121)}
+    assert buckets == [2]
