@@ -544,3 +544,16 @@ def test_fuzzy_lines_with_a_common_phrase_are_no_candidates(spark, monkeypatch):
     kept = {r.doc_id: r.n_kept for r in fuzzy_lines.dedupe_lines(spark.read.parquet(path)).collect()}
     assert kept == {i: int(i < 120) for i in range(121)}
     assert buckets == [2]
+
+
+def test_main_text_asks_the_host_about_open_blocks_beside_an_article(spark):
+    """What a page alone has beside its article stays; what the host repeats, and a few words of which it tells nothing, go."""
+    rng = random.Random(33)
+    box, own, bodies = syllables(rng, 12), [syllables(rng, 12) for _ in range(4)], [syllables(rng, 20) for _ in range(4)]
+    pages = [(i, f"http://a.org/{i}", f"<body><div>{lead}</div><div>3 May</div><article><p>{body}</p></article><div>{box}</div>", None, None)
+             for i, (lead, body) in enumerate(zip(own, bodies))]
+    pages += [(10 + i, f"http://b.org/{i}", f"<body><article><p>{bodies[0]}</p><div class='share-price'>{own[0]}</div></article><div>{side}</div>", None, None)
+              for i, side in enumerate(own)]  # copies of one article count once, whatever stands beside it
+    got = {r.page_id: r.text for r in main_text.main_text(spark.createDataFrame(pages, PAGES)).collect()}
+    assert {i: got[i] for i in range(4)} == {i: f"{own[i]}\n{bodies[i]}" for i in range(4)}
+    assert {i: got[10 + i] for i in range(4)} == {i: f"{bodies[0]}\n{own[0]}\n{own[i]}" for i in range(4)}
